@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
+from .media import op10_media
 from .packing import op1_packing
 
-QUERIES = {"op1_packing": op1_packing}
+QUERIES = {"op1_packing": op1_packing, "op10_media": op10_media}
 ORACLE_SQL: dict[str, str] = {}
