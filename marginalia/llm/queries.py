@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from .language import op4_language_id
 from .media import op10_media
 from .packing import op1_packing
 
-QUERIES = {"op1_packing": op1_packing, "op10_media": op10_media}
+QUERIES = {
+    "op1_packing": op1_packing,
+    "op4_language_id": op4_language_id,
+    "op10_media": op10_media,
+}
 ORACLE_SQL: dict[str, str] = {}
