@@ -7,12 +7,14 @@ and only new ones reach the tokenizer.
 
 from __future__ import annotations
 
+import sys
 import unicodedata
+from array import array
 
 import numpy as np
 
 DEFAULT = "word_bpe_49k.json"
-CACHE_WORDS = 700_000
+CACHE_WORDS = 600_000  # of each of two generations
 
 
 def default_path() -> str:
@@ -30,12 +32,19 @@ class WordIds(dict):
 
         self.tokenizer = Tokenizer.from_file(path or default_path())
         self.tokenizer.encode_special_tokens = True
-        self.dtype = np.dtype(dtype)
+        self.kind = {"<u4": "I", "<u2": "H"}[dtype]
+        self.older: dict[bytes, bytes] = {}
 
     def _direct(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
+        ids = array(self.kind, self.tokenizer.encode(text, add_special_tokens=False).ids)
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
 
     def __missing__(self, word: bytes) -> bytes:
+        if (ids := self.older.get(word)) is not None:
+            self[word] = ids
+            return ids
         # "word," is two runs of the splitting pattern whenever a single mark follows an ASCII letter.
         if len(word) > 2 and word[-1:] in b".,;!" and word[-2:-1].isalpha():
             ids = self[word[:-1]] + self[word[-1:]]
@@ -52,6 +61,7 @@ class WordIds(dict):
         if b"<|" in text:
             return self._direct(text.decode())
         if len(self) > CACHE_WORDS:
+            self.older = dict(self)
             self.clear()
         return b"".join(map(self.__getitem__, text.lower().split()))
 
