@@ -13,7 +13,7 @@ from functools import lru_cache
 
 import numpy as np
 
-LANES = 16_384  # decoded or encoded at once; bounds memory
+LANES = 4_096  # decoded or encoded at once; bounds memory
 
 # The order in which JPEG stores the 64 coefficients of a block (zigzag).
 ZIGZAG = np.array(sorted(range(64), key=lambda i: (i // 8 + i % 8, (i // 8 if (i // 8 + i % 8) % 2 else i % 8))))

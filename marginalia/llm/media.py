@@ -29,7 +29,7 @@ from .common import table
 ROW = 192
 ROWS = 16  # of a frame
 FPS = 25
-BATCH = 2 << 20
+BATCH = 1 << 19
 EMPTY_ROW = b"\x49\x2f"  # four times DC 0, end of block; then ones
 BINS = 16
 
@@ -175,7 +175,7 @@ def decode(files: list[bytes]) -> list[dict]:
     begin = 0
     while begin < len(images):
         end = begin + 1
-        while end < len(images) and images[end][0].quant == images[begin][0].quant and images[end][0].blocks == images[begin][0].blocks and sizes[begin : end + 1].sum() < 65_536:
+        while end < len(images) and images[end][0].quant == images[begin][0].quant and images[end][0].blocks == images[begin][0].blocks and sizes[begin : end + 1].sum() < 8_192:
             end += 1
         header = images[begin][0]
         values = jpeg.luma(header, np.concatenate([c for _, c in images[begin:end]])) >> 4
