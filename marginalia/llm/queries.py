@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+from .chat import OP8_SQL, op8_chat
 from .language import op4_language_id
 from .media import op10_media
 from .packing import op1_packing
+from .search import OP2_SQL, op2_knn
+from .secrets import op9_secrets
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_knn": op2_knn,
     "op4_language_id": op4_language_id,
+    "op8_chat": op8_chat,
+    "op9_secrets": op9_secrets,
     "op10_media": op10_media,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op2_knn": OP2_SQL, "op8_chat": OP8_SQL}
