@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -38,10 +39,16 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
 def input_bytes(df: DataFrame) -> int:
     """Catalyst's own estimate of the size of ``df``; it sizes bucket counts, never results."""
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(size.toString())
+    return int(str(size))
 
 
 def buckets(df: DataFrame, bytes_per_bucket: int) -> int:
     """Bucket count for a shuffle over ``df``: by its size, at least the session's partitions."""
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return max(least, -(-input_bytes(df) // bytes_per_bucket))
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark drop the shuffle files of plans that nothing refers to any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

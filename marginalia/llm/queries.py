@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .chat import OP8_SQL, op8_chat
+from .jaccard import op3_jaccard
 from .language import op4_language_id
 from .media import op10_media
 from .packing import op1_packing
@@ -12,6 +13,7 @@ from .secrets import op9_secrets
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_knn": op2_knn,
+    "op3_jaccard": op3_jaccard,
     "op4_language_id": op4_language_id,
     "op8_chat": op8_chat,
     "op9_secrets": op9_secrets,
