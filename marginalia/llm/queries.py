@@ -7,6 +7,7 @@ from .jaccard import op3_jaccard
 from .language import op4_language_id
 from .media import op10_media
 from .packing import op1_packing
+from .repeats import op5_repeats
 from .search import OP2_SQL, op2_knn
 from .secrets import op9_secrets
 
@@ -15,6 +16,7 @@ QUERIES = {
     "op2_knn": op2_knn,
     "op3_jaccard": op3_jaccard,
     "op4_language_id": op4_language_id,
+    "op5_repeats": op5_repeats,
     "op8_chat": op8_chat,
     "op9_secrets": op9_secrets,
     "op10_media": op10_media,

@@ -39,14 +39,28 @@ def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-def runs(hashes: np.ndarray, width: int) -> np.ndarray:
-    """A 64-bit hash of every run of ``width`` consecutive words."""
+INVERSE = np.uint64(pow(int(ODD), -1, 1 << 64))
+
+
+def runs(hashes: np.ndarray, width: int, factor: np.uint64 = ODD, inverse: np.uint64 = INVERSE) -> np.ndarray:
+    """A 64-bit hash of every run of ``width`` consecutive words (a polynomial in ``factor``)."""
     n = len(hashes) - width + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
     with np.errstate(over="ignore"):
-        acc = np.zeros(max(n, 0), np.uint64)
-        for i in range(width if n > 0 else 0):
-            acc = acc * ODD + hashes[i : i + n]
-    return mix(acc)
+        if width <= 6:
+            acc = np.zeros(n, np.uint64)
+            for i in range(width):
+                acc = acc * factor + hashes[i : i + n]
+            return mix(acc)
+        down = np.full(len(hashes), inverse)
+        down[0] = 1
+        np.multiply.accumulate(down, out=down)
+        up = np.full(n, factor)
+        up[0] = 1
+        np.multiply.accumulate(up, out=up)
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * down, dtype=np.uint64)])
+        return mix((total[width:] - total[:-width]) * up)
 
 
 def shingle_set(text: bytes | None, width: int = 5) -> np.ndarray:
