@@ -6,7 +6,9 @@ import gc
 import tempfile
 import uuid
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,8 +34,34 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     lost executor costs a reread and not a recomputation."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/marginalia-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._cut_path = path
+    return out
+
+
+def drop(*tables: DataFrame) -> None:
+    """Deletes tables that ``cut`` wrote and that no later step reads."""
+    for df in tables:
+        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(df._cut_path)
+        path.getFileSystem(conf).delete(path, True)
+
+
+def most_frequent(counts: DataFrame, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys (as unsigned) and counts of the most frequent keys of (key long, n long): all whose
+    count has at least as many bits as lets no more than ``limit`` of them through."""
+    counts = cut(counts, "counts")
+    sizes = counts.groupBy(F.length(F.bin("n")).alias("bits")).count().collect()
+    least, room = 65, limit
+    for r in sorted(sizes, key=lambda r: -r.bits):
+        room -= r["count"]
+        if room < 0:
+            break
+        least = r.bits
+    top = counts.where(F.length(F.bin("n")) >= least).collect()
+    drop(counts)
+    return np.array([r.key for r in top], np.int64).view(np.uint64), np.array([r.n for r in top], np.int64)
 
 
 def input_bytes(df: DataFrame) -> int:

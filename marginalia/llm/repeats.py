@@ -28,15 +28,14 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import buckets, cut, release, table
-from .words import INVERSE, ODD, mix, runs, word_hashes
+from .common import buckets, cut, most_frequent, release, table
+from .words import SECOND, Frequent, chunks, mix, runs, word_bounds, word_hashes
 
 WINDOW, MINI = 20, 6
 FLUSH_BYTES = 12 << 20
 HOT_KEYS, HOT_BLOCK, HOT_LEAST = 65_536, 1_000_000, 8
 NO_ID = -(1 << 63)
 REMOVED = "doc_id long, sum long, first long, end long"
-SECOND, SECOND_INVERSE = (np.uint64(pow(int(x), 3, 1 << 64)) for x in (ODD, INVERSE))
 
 
 def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -50,41 +49,63 @@ def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, size = [], 0
         return pa.RecordBatch.from_arrays([pa.array(keys[hot].view(np.int64)), pa.array(counts[hot].astype(np.int64))], ["key", "n"])
 
-    for batch in batches:
-        for text in batch.column(0):
-            words = (text.as_py() or b"").split()
-            if len(words) >= WINDOW:
-                block.append(runs(word_hashes(words), MINI))
-                size += len(words)
-                if size > HOT_BLOCK:
-                    yield flush()
+    for chunk in chunks(batches):
+        block.append(runs(chunk.hashes, MINI))
+        size += len(block[-1])
+        if size > HOT_BLOCK:
+            yield flush()
     yield flush()
 
 
-def minimisers(hashes: np.ndarray, hot: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """For the windows of a text of at least WINDOW words: the place of each one's minimiser, and
-    the hash of each run."""
+def super_k_mers(hashes: np.ndarray, first: np.ndarray, hot: Frequent) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First window, end window (exclusive), minimiser and text of each maximal row of windows of
+    one text that share a minimiser; windows are numbered by their first word."""
+    n = len(hashes) - WINDOW + 1
+    if n <= 0:
+        return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64), np.zeros(0, np.int64))
     run = runs(hashes, MINI)
-    rank = run >> np.uint64(6)
-    if len(hot[0]):
-        at = np.minimum(np.searchsorted(hot[0], run), len(hot[0]) - 1)
-        rank |= np.where(hot[0][at] == run, hot[1][at], 0).astype(np.uint64) << np.uint64(58)
-    wide = WINDOW - MINI + 1
-    place = np.lib.stride_tricks.sliding_window_view(rank, wide).argmin(axis=1)
-    return place + np.arange(len(place)), run
-
-
-def _pack(hot: tuple[np.ndarray, np.ndarray], n_buckets: int):
+    least = run >> np.uint64(6) | hot.weights(run).astype(np.uint64) << np.uint64(58)
+    size, wide = 1, WINDOW - MINI + 1
+    while 2 * size <= wide:
+        least = np.minimum(least[:-size], least[size:])
+        size *= 2
+    least = np.minimum(least[:n], least[wide - size : wide - size + n])
+    owner = np.repeat(np.arange(len(first) - 1), np.diff(first))[:n]
+    inside = np.arange(n) + WINDOW <= first[1:][owner]
+    change = np.ones(n, bool)
+    change[1:] = (least[1:] != least[:-1]) | (owner[1:] != owner[:-1]) | ~inside[:-1]
+    begin = np.flatnonzero(inside & change)
+    stop = np.ones(n, bool)
+    stop[:-1] = change[1:] | ~inside[1:]
+    return begin, np.flatnonzero(inside & stop) + 1, least[begin], owner[begin]
+
+
+def _merge(gone: list[tuple]) -> np.ndarray:
+    """Intervals (doc_id, sum, first, end), those of one text that touch made one."""
+    x = np.array(gone, np.int64)
+    x = x[np.lexsort((x[:, 2], x[:, 1], x[:, 0]))]
+    group = np.cumsum(np.concatenate([[0], (x[1:, :2] != x[:-1, :2]).any(axis=1)]))
+    wide = int(x[:, 3].max()) + 1
+    reach = np.maximum.accumulate(x[:, 3] + group * wide) - group * wide
+    new = np.ones(len(x), bool)
+    new[1:] = (group[1:] != group[:-1]) | (x[1:, 2] > reach[:-1])
+    at = np.flatnonzero(new)
+    out = x[at]
+    out[:, 3] = reach[np.append(at[1:], len(x)) - 1]
+    return out
+
+
+def _pack(hot: Frequent, n_buckets: int):
     """Rows (bucket, removed, data): packed strings of a bucket, or intervals known to go."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[bytes, tuple] = {}
         gone: list[tuple] = []
         squeeze = zstandard.ZstdCompressor(level=1)
-        size = turn = 0
+        size = 0
 
         def flush() -> pa.RecordBatch:
-            nonlocal held, gone, size, turn
+            nonlocal held, gone, size
             rows = []
             texts = list(held)
             if texts:
@@ -97,38 +118,30 @@ def _pack(hot: tuple[np.ndarray, np.ndarray], n_buckets: int):
                 for a, b in zip(edges[:-1], edges[1:]):
                     own = by[a:b]
                     head = len(own).to_bytes(8, "little") + ids[own].tobytes() + starts[own].tobytes() + sums[own].tobytes() + counts[own].tobytes()
-                    rows.append((int(where[own[0]]), False, squeeze.compress(head + b" ".join([texts[i] for i in own]))))
+                    rows.append((int(where[own[0]]), False, squeeze.compress(head + b" ".join([texts[i] for i in own.tolist()]))))
             if gone:
-                turn += 1
-                rows.append((hash((gone[0][0], len(gone), turn)) % n_buckets, True, np.array(gone, np.int64).tobytes()))
+                some = _merge(gone)
+                rows += [((int(some[a, 0]) + a) % n_buckets, True, some[a : a + 8192].tobytes()) for a in range(0, len(some), 8192)]
             held, gone, size = {}, [], 0
             columns = list(zip(*rows)) or [[]] * 3
             return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.bool_()), pa.array(columns[2], pa.binary())], ["bucket", "removed", "data"])
 
-        for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                text = text.as_py() or b""
-                words = text.split()
-                if len(words) < WINDOW:
-                    continue
-                place, run_hash = minimisers(word_hashes(words), hot)
-                first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-                where = (mix(run_hash[place[first]], 5) >> np.uint64(1)).astype(np.int64) % n_buckets
-                checksum = zlib.crc32(text)
-                ends = np.append(first[1:], len(place)).tolist()
-                for a, e, bucket in zip(first.tolist(), ends, where.tolist()):
-                    string = b" ".join(words[a : e + WINDOW - 1])
-                    new = (doc_id, a, checksum, e + WINDOW - 1 - a, bucket)
-                    old = held.get(string)
-                    if old is None:
-                        held[string] = new
-                    elif old[:3] != new[:3]:
-                        if new[:3] < old[:3]:
-                            held[string], new = new, old
-                        gone.append((new[0], new[2], new[1], new[1] + new[3]))
-                size += len(text)
-                if size > FLUSH_BYTES:
-                    yield flush()
+        for chunk in chunks(batches):
+            begin, end, least, owner = super_k_mers(chunk.hashes, chunk.first, hot)
+            where = (mix(least, 5) >> np.uint64(1)).astype(np.int64) % n_buckets
+            lo, hi = chunk.starts[begin].tolist(), chunk.ends[end + WINDOW - 2].tolist()
+            place, words = (begin - chunk.first[owner]).tolist(), (end - begin + WINDOW - 1).tolist()
+            checksums, data = [zlib.crc32(x) for x in chunk.texts], chunk.data
+            for a, b, i, at, n, bucket in zip(lo, hi, owner.tolist(), place, words, where.tolist()):
+                string, new = data[a:b], (chunk.ids[i], at, checksums[i], n, bucket)
+                old = held.setdefault(string, new)
+                if old is not new and old[:3] != new[:3]:
+                    if new[:3] < old[:3]:
+                        held[string], new = new, old
+                    gone.append((new[0], new[2], new[1], new[1] + n))
+            size += len(data)
+            if size > FLUSH_BYTES:
+                yield flush()
         yield flush()
 
     return run
@@ -182,12 +195,13 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n = int.from_bytes(raw[:8], "little")
             ids, starts = np.frombuffer(raw, np.int64, n, 8), np.frombuffer(raw, np.int64, n, 8 + 8 * n)
             sums, counts = np.frombuffer(raw, np.uint32, n, 8 + 16 * n), np.frombuffer(raw, np.int32, n, 8 + 20 * n).astype(np.int64)
-            h = word_hashes(raw[8 + 24 * n :].split())
+            text = raw[8 + 24 * n :]
+            h = word_hashes(text, *word_bounds(text))
             edge = np.cumsum(counts) - counts
             windows = counts - WINDOW + 1
             inside = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
             at = np.repeat(edge, windows) + inside
-            parts.append((runs(h, WINDOW)[at], runs(h, WINDOW, SECOND, SECOND_INVERSE)[at], np.repeat(ids, windows), np.repeat(sums, windows), np.repeat(starts, windows) + inside))
+            parts.append((runs(h, WINDOW)[at], runs(h, WINDOW, SECOND)[at], np.repeat(ids, windows), np.repeat(sums, windows), np.repeat(starts, windows) + inside))
     yield from close()
 
 
@@ -211,11 +225,8 @@ def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def removed_intervals(docs: DataFrame, parts: int) -> DataFrame:
     """doc_id (NO_ID for null), checksum of the text, and an interval of words that go."""
     spark = docs.sparkSession
-    found = docs.select("text").mapInArrow(_frequent, "key long, n long")
-    top = found.groupBy("key").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "key").limit(HOT_KEYS).collect()
-    keys = np.array([r.key for r in top], np.int64).view(np.uint64)
-    order = np.argsort(keys)
-    hot = (keys[order], np.array([int(r.n).bit_length() for r in top], np.int64)[order])
+    counts = docs.mapInArrow(_frequent, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    hot = Frequent(*most_frequent(counts, HOT_KEYS))
     packed = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "text").mapInArrow(_pack(hot, 4 * parts), "bucket int, removed boolean, data binary")
     gone = cut(packed.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_count, REMOVED), "gone")
     del packed
