@@ -6,8 +6,9 @@ and XOR-ed within their part, so a shingle that only one of two sets has can spo
 and the number of differing parts bounds the symmetric difference from below. Linked sets A and B
 differ in at most d = (|A| + |B|) / 7 shingles; if A fills more than d parts, some filled part is
 the same in B, and in any common order of parts it is among the first d + 1 of both. So d + 1
-parts of each document and band are joined, those with the rarest shingles first, and candidates
-are verified on the whole sets.
+parts of each document and band are joined, those with the rarest shingles first. Candidates whose
+bit sketches (parities of all shingles, as many bits as shingles or more) are further apart than d
+are dropped; the others are verified on the whole sets.
 
 Copies (equal sets) are one node. Documents that share a part are first compared with one of them
 only; further rounds compare members that are still in different components, until every pair that
@@ -28,23 +29,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import buckets, cut, release, table
+from .common import buckets, cut, drop, most_frequent, release, table
 from .graph import components
-from .words import ODD, mix, shingle_set
+from .words import LOWER, ODD, Frequent, chunks, mix, shingle_sets
 
 HOT_KEYS = 65_536  # shingles that are ordered by frequency; the bound of what is broadcast
 HOT_BLOCK, HOT_LEAST = 1_000_000, 8
 FLUSH = 500_000
 SPARSE_PARTS = 1 << 20
+SKETCH_BITS = 1 << 20
 CHUNK = 4096
 EXHAUST = 100_000
 ROUNDS = 12
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, np.ndarray]]:
-    for batch in batches:
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            yield doc_id, shingle_set(text.as_py())
+    for chunk in chunks(batches, LOWER):
+        yield from zip(chunk.ids, shingle_sets(chunk))
 
 
 def _fingerprint(s: np.ndarray) -> tuple[int, int]:
@@ -52,8 +53,23 @@ def _fingerprint(s: np.ndarray) -> tuple[int, int]:
         return int(mix(s, 1).sum(dtype=np.uint64).view(np.int64)), int(np.bitwise_xor.reduce(mix(s, 2)).view(np.int64)) if len(s) else 0
 
 
+def sketch(s: np.ndarray) -> bytes:
+    """The parity of the number of shingles at each of a power of two of bits, at least |s|."""
+    bits = min(max(64, 1 << len(s).bit_length()), SKETCH_BITS)
+    counts = np.bincount((mix(s, 11) & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def distance(x: bytes, y: bytes) -> int:
+    """Hamming distance of two sketches, the longer one folded: a lower bound of |A ^ B|."""
+    u, v = (np.frombuffer(z, np.uint64) for z in sorted((x, y), key=len))
+    while len(v) > len(u):
+        v = v[: len(v) // 2] ^ v[len(v) // 2 :]
+    return int(np.bitwise_count(u ^ v).sum())
+
+
 def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (a, b, c, d): doc_id, set size and fingerprint; or, where hot: shingle, count, 0, 0."""
+    """Rows (hot, a, b, c, d, sketch): doc_id, set size and fingerprint; or: shingle and count."""
     rows: list[tuple] = []
     block: list[np.ndarray] = []
     size = 0
@@ -63,14 +79,15 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if block:
             keys, counts = np.unique(np.concatenate(block), return_counts=True)
             hot = counts >= HOT_LEAST
-            rows += [(True, int(k), int(n), 0, 0) for k, n in zip(keys[hot].view(np.int64), counts[hot])]
-        columns = list(zip(*rows)) or [[]] * 5
-        out = pa.RecordBatch.from_arrays([pa.array(columns[0], pa.bool_()), *[pa.array(c, pa.int64()) for c in columns[1:]]], ["hot", "a", "b", "c", "d"])
+            rows += [(True, int(k), int(n), None, None, None) for k, n in zip(keys[hot].view(np.int64), counts[hot])]
+        columns = list(zip(*rows)) or [[]] * 6
+        kinds = (pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+        out = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["hot", "a", "b", "c", "d", "sketch"])
         rows, block, size = [], [], 0
         return out
 
     for doc_id, s in _texts(batches):
-        rows.append((False, doc_id, len(s), *_fingerprint(s)))
+        rows.append((False, doc_id, len(s), *_fingerprint(s), sketch(s)))
         block.append(s)
         size += len(s)
         if size > HOT_BLOCK:
@@ -89,13 +106,11 @@ def parts_of(band: int, spread: int = 1) -> int:
     return SPARSE_PARTS * spread if band < 8 else (2 if band < 10 else 1) * spread << band
 
 
-def signatures(s: np.ndarray, hot: tuple[np.ndarray, np.ndarray], spread: int = 1) -> tuple[list[np.ndarray], bool]:
+def signatures(s: np.ndarray, hot: Frequent, spread: int = 1) -> tuple[list[np.ndarray], bool]:
     """The d + 1 rarest parts for each band of a set, and whether each band had more than d."""
     out, full, n = [], True, len(s)
-    weight = np.zeros(n, np.int64)
-    if len(hot[0]):
-        at = np.minimum(np.searchsorted(hot[0], s), len(hot[0]) - 1)
-        weight = np.where(hot[0][at] == s, hot[1][at], 0)
+    weight = hot.weights(s)
+    common = weight.any()
     for band in bands_of(n):
         most = min((2 << band) - 1, 4 * n // 3)
         d = (n + most) // 7
@@ -106,7 +121,7 @@ def signatures(s: np.ndarray, hot: tuple[np.ndarray, np.ndarray], spread: int =
         full &= len(first) > d
         with np.errstate(over="ignore"):
             sig = mix(np.bitwise_xor.reduceat(s[order], first) + part[first] * ODD, 100 + band)
-        if weight.any():
+        if common:
             rare = np.minimum.reduceat(weight[order], first)
             take = np.lexsort((sig, rare))[: d + 1]
         else:
@@ -115,7 +130,7 @@ def signatures(s: np.ndarray, hot: tuple[np.ndarray, np.ndarray], spread: int =
     return out, full
 
 
-def _signature_blobs(hot: tuple[np.ndarray, np.ndarray], n_buckets: int, spread: int):
+def _signature_blobs(hot: Frequent, n_buckets: int, spread: int):
     """Rows (bucket, sigs, ids): packed signatures and the document of each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,16 +240,29 @@ def _verify_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sets = [shingle_set(x.as_py()).tobytes() for x in batch.column(1)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["id", "s"])
+        got = list(_texts(iter([batch])))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for _, s in got], pa.binary())], ["id", "s"])
 
 
-def verify(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(a, b, linked) for pairs of ids, on the whole sets."""
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+def _near_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs whose sizes and sketches allow a link."""
+    for batch in batches:
+        keep = []
+        for n, m, x, y in zip(*(batch.column(c).to_pylist() for c in ("na", "nb", "ka", "kb"))):
+            keep.append(100 * min(n, m) >= 75 * max(n, m) and distance(x, y) <= (n + m) // 7)
+        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+
+def verify(docs: DataFrame, pairs: DataFrame, reps: DataFrame) -> DataFrame:
+    """(a, b, linked) for pairs of ids that their sketches do not rule out, on the whole sets."""
+    side = lambda x: reps.select(F.col("rep").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"k{x}"))
+    near = cut(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "ka", "kb").mapInArrow(_near_rows, "a long, b long"), "near")
+    ids = cut(near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct(), "ids")
     sets = cut(docs.join(ids, "doc_id", "left_semi").mapInArrow(_set_rows, "id long, s binary"), "sets")
-    joined = pairs.join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b").join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a")
+    joined = near.join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b").join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a")
     checked = cut(joined.select("a", "b", "sa", "sb").mapInArrow(_verify_rows, "a long, b long, linked boolean"), "checked")
+    drop(near, ids, sets)
+    del joined
     release(docs.sparkSession)
     return checked
 
@@ -247,16 +275,17 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     """doc_id, n_shingles, component_id of every row."""
     spark, parts, spread = docs.sparkSession, buckets(docs, 16 << 20), 1
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text"))
-    profile = cut(docs.mapInArrow(_profile, "hot boolean, a long, b long, c long, d long"), "profile")
-    top = profile.where("hot").groupBy("a").agg(F.sum("b").alias("n")).orderBy(F.desc("n"), "a").limit(HOT_KEYS).collect()
-    keys = np.array([r.a for r in top], np.int64).view(np.uint64)
-    order = np.argsort(keys)
-    hot = (keys[order], np.array([int(r.n).bit_length() for r in top], np.int64)[order])
-
-    rows = profile.where("NOT hot").select(F.col("a").alias("doc_id"), F.col("b").alias("n_shingles"), "c", "d")
-    copies = rows.where("n_shingles > 0").groupBy("n_shingles", "c", "d").agg(F.min("doc_id").alias("rep"))
-    nodes = cut(rows.join(copies, ["n_shingles", "c", "d"], "left").select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("rep")).otherwise(F.col("doc_id")).alias("rep")), "nodes")
-    rep = nodes.where("doc_id IS NOT NULL AND n_shingles > 0").select("doc_id", "rep", F.col("n_shingles").alias("n")).distinct()
+    profile = cut(docs.mapInArrow(_profile, "hot boolean, a long, b long, c long, d long, sketch binary"), "profile")
+    counts = profile.where("hot").groupBy(F.col("a").alias("key")).agg(F.sum("b").alias("n"))
+    hot = Frequent(*most_frequent(counts, HOT_KEYS))
+
+    rows = profile.where("NOT hot").select(F.col("a").alias("doc_id"), F.col("b").alias("n"), "c", "d", "sketch")
+    classes = rows.where("n > 0").groupBy("n", "c", "d").agg(F.min("doc_id").alias("rep"), F.min("sketch").alias("sketch"))
+    classes = cut(classes, "classes")
+    nodes = rows.select("doc_id", "n", "c", "d").join(classes.select("n", "c", "d", "rep"), ["n", "c", "d"], "left")
+    nodes = cut(nodes.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("rep")).otherwise(F.col("doc_id")).alias("rep")), "nodes")
+    named = nodes.where("doc_id IS NOT NULL AND n_shingles > 0").select("doc_id", "rep").distinct()
+    reps = classes.where("rep IS NOT NULL").select("rep", "n", "sketch")
 
     while True:
         blobs = docs.mapInArrow(_signature_blobs(hot, 4 * parts, spread), "bucket int, sigs binary, ids binary")
@@ -264,36 +293,38 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         if met.where("a IS NULL").isEmpty():
             break
         spread *= 4  # some set filled too few parts: more parts for all
+    del blobs
     release(spark)
 
-    named = lambda side: rep.select(F.col("doc_id").alias(side), F.col("rep").alias(f"rep_{side}"))
-    pairs = met.where("members IS NULL").select("a", "b").distinct().join(named("a"), "a").join(named("b"), "b")
+    side = lambda x: named.select(F.col("doc_id").alias(x), F.col("rep").alias(f"rep_{x}"))
+    pairs = met.where("members IS NULL").select("a", "b").distinct().join(side("a"), "a").join(side("b"), "b")
     pairs = cut(_ordered(pairs.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))), "pairs")
-    checked = verify(docs, pairs)
+    shared = met.where("members IS NOT NULL").select(F.col("a").alias("key"), F.explode("members").alias("doc_id"))
+    shared = cut(shared.join(named, "doc_id").select("key", "rep").distinct(), "shared")
+    drop(met)
+    checked, tried = verify(docs, pairs, reps), pairs
     labels = cut(components(checked.where("linked")), "labels")
 
-    shared = met.where("members IS NOT NULL").select(F.col("a").alias("key"), F.explode("members").alias("doc_id"))
-    shared = cut(shared.join(rep, "doc_id").groupBy("key", "rep").agg(F.max("n").alias("n")), "shared")
     for turn in range(ROUNDS):
-        now = shared.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("c", F.coalesce("component", "rep"))
+        now = shared.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("c"))
         split = now.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x <> y").select("key")
-        shared = cut(now.join(split, "key").select("key", "rep", "n", "c"), "shared")
+        shared = cut(now.join(split, "key"), "shared")
         sizes = shared.groupBy("key", "c").agg(F.count(F.lit(1)).alias("k"))
         open_pairs = sizes.groupBy("key").agg(((F.sum("k") * F.sum("k") - F.sum(F.col("k") * F.col("k"))) / 2).alias("p")).agg(F.sum("p")).first()[0] or 0
         if not open_pairs:
             break
         last = open_pairs <= EXHAUST or turn == ROUNDS - 1
         if last:
-            other = shared.select("key", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"))
-            fresh = shared.join(other, "key").where("rep < b AND c <> cb AND 100 * least(n, nb) >= 75 * greatest(n, nb)").select(F.col("rep").alias("a"), "b")
+            other = shared.select("key", F.col("rep").alias("b"), F.col("c").alias("cb"))
+            fresh = shared.join(other, "key").where("rep < b AND c <> cb").select(F.col("rep").alias("a"), "b")
         else:  # one member of each key, the same one for keys with like members
-            pivot = shared.groupBy("key").agg(F.min_by(F.struct("rep", "n", "c"), F.xxhash64("rep", F.lit(turn))).alias("p"))
-            fresh = shared.join(pivot, "key").where("c <> p.c AND 100 * least(n, p.n) >= 75 * greatest(n, p.n)").select(F.col("p.rep").alias("a"), F.col("rep").alias("b"))
-        fresh = cut(_ordered(fresh).join(checked, ["a", "b"], "left_anti"), "pairs")
-        more = verify(docs, fresh)
-        checked = checked.unionByName(more)
+            pivot = shared.groupBy("key").agg(F.min_by(F.struct("rep", "c"), F.xxhash64("rep", F.lit(turn))).alias("p"))
+            fresh = shared.join(pivot, "key").where("c <> p.c").select(F.col("p.rep").alias("a"), F.col("rep").alias("b"))
+        fresh = cut(_ordered(fresh).join(tried, ["a", "b"], "left_anti"), "pairs")
+        tried = tried.unionByName(fresh)
+        checked = checked.unionByName(verify(docs, fresh, reps))
         labels = cut(components(checked.where("linked")), "labels")
-        shared = shared.select("key", "rep", "n")
+        shared = shared.select("key", "rep")
         if last:
             break
     found = nodes.join(labels, F.col("rep") == F.col("node"), "left")
