@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from .chat import OP8_SQL, op8_chat
+from .counts import op6_token_counts
 from .jaccard import op3_jaccard
 from .language import op4_language_id
 from .media import op10_media
+from .mixing import op7_mixing
 from .packing import op1_packing
 from .repeats import op5_repeats
 from .search import OP2_SQL, op2_knn
@@ -17,6 +19,8 @@ QUERIES = {
     "op3_jaccard": op3_jaccard,
     "op4_language_id": op4_language_id,
     "op5_repeats": op5_repeats,
+    "op6_token_counts": op6_token_counts,
+    "op7_mixing": op7_mixing,
     "op8_chat": op8_chat,
     "op9_secrets": op9_secrets,
     "op10_media": op10_media,

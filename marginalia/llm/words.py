@@ -134,10 +134,10 @@ class Chunk:
     first: np.ndarray
 
 
-def chunks(batches: Iterator[pa.RecordBatch], values: np.ndarray = VALUES, id_at: int = 0, text_at: int = 1) -> Iterator[Chunk]:
+def chunks(batches: Iterator[pa.RecordBatch], values: np.ndarray = VALUES, id_at: int | None = 0, text_at: int = 1) -> Iterator[Chunk]:
     """The rows of batches in pieces of about CHUNK_BYTES of text; a null text has no words."""
     for batch in batches:
-        ids, column, at = batch.column(id_at).to_pylist(), batch.column(text_at), 0
+        ids, column, at = [None] * batch.num_rows if id_at is None else batch.column(id_at).to_pylist(), batch.column(text_at), 0
         while at < len(ids):
             texts, size, begin = [], 0, at
             while at < len(ids) and (not texts or size < CHUNK_BYTES):
