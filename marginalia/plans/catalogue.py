@@ -1,4 +1,6 @@
 """Registered queries of the engine and their DuckDB SQL."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from . import flow_queries, text_queries
+
+QUERIES = {**text_queries.QUERIES, **flow_queries.QUERIES}
+ORACLE_SQL = {**text_queries.ORACLE_SQL, **flow_queries.ORACLE_SQL}
