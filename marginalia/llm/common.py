@@ -59,9 +59,9 @@ def most_frequent(counts: DataFrame, limit: int) -> tuple[np.ndarray, np.ndarray
         if room < 0:
             break
         least = r.bits
-    top = counts.where(F.length(F.bin("n")) >= least).collect()
+    top = counts.where(F.length(F.bin("n")) >= least).select("key", "n").toArrow()
     drop(counts)
-    return np.array([r.key for r in top], np.int64).view(np.uint64), np.array([r.n for r in top], np.int64)
+    return top["key"].to_numpy().astype(np.int64).view(np.uint64), top["n"].to_numpy().astype(np.int64)
 
 
 def input_bytes(df: DataFrame) -> int:

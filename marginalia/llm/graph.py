@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, drop
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+def _stored(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """Edges as a table, and their number and a sum of hashes, taken while it is written."""
+    seen = Observation()
+    hashes = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
+    stored = cut(edges.observe(seen, F.count(F.lit(1)).alias("n"), hashes.alias("h")), "edges")
+    return stored, (seen.get["n"], seen.get["h"])
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -18,8 +22,7 @@ def components(edges: DataFrame) -> DataFrame:
     Each step moves edges to smaller neighbours; a hub's neighbours are never gathered, minima are
     combined before the shuffle and joined back. Every step is written to the shared folder.
     """
-    edges = cut(edges.where(F.col("a") != F.col("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
-    before = _state(edges)
+    edges, before = _stored(edges.where(F.col("a") != F.col("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     while True:
         both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a"))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -27,8 +30,9 @@ def components(edges: DataFrame) -> DataFrame:
         least = large.groupBy("b").agg(F.min("a").alias("m"))
         small = large.join(least, "b")
         small = small.select(F.col("m").alias("a"), "b").union(small.where("m < a").select(F.col("m").alias("a"), F.col("a").alias("b")))
-        edges = cut(small.distinct(), "edges")
-        after = _state(edges)
+        last = edges
+        edges, after = _stored(small.distinct())
+        drop(last)
         if after == before:
             break
         before = after

@@ -11,8 +11,10 @@ bit sketches (parities of all shingles, as many bits as shingles or more) are fu
 are dropped; the others are verified on the whole sets.
 
 Copies (equal sets) are one node. Documents that share a part are first compared with one of them
-only; further rounds compare members that are still in different components, until every pair that
-shares a part is in one component or verified. Nothing is capped.
+only. Where they are still in different components, the sketches of all members are compared
+between components, and of each two components the nearest pairs that may link are verified, twice
+as many in each round, until every pair that shares a part is in one component, ruled out by its
+sketches, or verified. Nothing is capped.
 
 Defined cases: null texts and texts without words are empty sets, linked with nothing, component
 their own id; fewer than 5 words are one shingle; rows that share a doc_id are one node; a null
@@ -33,14 +35,13 @@ from .common import buckets, cut, drop, most_frequent, release, table
 from .graph import components
 from .words import LOWER, ODD, Frequent, chunks, mix, shingle_sets
 
-HOT_KEYS = 65_536  # shingles that are ordered by frequency; the bound of what is broadcast
-HOT_BLOCK, HOT_LEAST = 1_000_000, 8
+HOT_KEYS = 1 << 20  # shingles that are ordered by frequency; the bound of what is broadcast
+HOT_BLOCK, HOT_LEAST = 2_000_000, 3
 FLUSH = 500_000
 SPARSE_PARTS = 1 << 20
 SKETCH_BITS = 1 << 20
-CHUNK = 4096
-EXHAUST = 100_000
-ROUNDS = 12
+CHUNK = 256
+SPLIT = 8192
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, np.ndarray]]:
@@ -267,6 +268,66 @@ def verify(docs: DataFrame, pairs: DataFrame, reps: DataFrame) -> DataFrame:
     return checked
 
 
+def _cross_rows(most: int):
+    """Rows come sorted by key and salt: of each two components of a group up to ``most`` pairs
+    that are not tried and that sizes and sketches let through, those of the least distance first."""
+
+    def close(rows: list[tuple]) -> list[tuple]:
+        by: dict[int, list[tuple]] = {}
+        tried = {(r[1], r[5]) for r in rows if r[5] is not None}
+        for r in rows:
+            if r[5] is None:
+                by.setdefault(r[2], []).append(r)
+        groups, out = sorted(by.items(), key=lambda g: -len(g[1])), []
+        for i, (_, small) in enumerate(groups[1:], 1):
+            for _, big in groups[:i]:
+                near = []
+                for x in small:
+                    for y in big:
+                        if 100 * min(x[3], y[3]) >= 75 * max(x[3], y[3]) and (pair := (min(x[1], y[1]), max(x[1], y[1]))) not in tried:
+                            if (h := distance(x[4], y[4])) <= (x[3] + y[3]) // 7:
+                                near.append((h, *pair))
+                out += [p[1:] for p in sorted(near)[:most]]
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, rows, out = None, [], []
+        for batch in batches:
+            for r in zip(*(batch.column(c).to_pylist() for c in ("key", "rep", "c", "n", "sketch", "other", "salt"))):
+                if (r[0], r[6]) != now:
+                    out += close(rows)
+                    now, rows = (r[0], r[6]), []
+                rows.append(r)
+            yield _two(out)
+            out = []
+        yield _two(close(rows))
+
+    return run
+
+
+def _two(pairs: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*pairs)) or [[], []]
+    return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64())], ["a", "b"])
+
+
+def _between(members: DataFrame, reps: DataFrame, tried: DataFrame, parts: int, most: int) -> DataFrame:
+    """Untried pairs (a, b) between components of (key, rep, c). A group's largest component is
+    spread over several salts, the others go to each of them."""
+    sizes = members.groupBy("key", "c").agg(F.count(F.lit(1)).alias("k"))
+    largest = sizes.groupBy("key").agg(F.max_by("c", F.struct("k", "c")).alias("big"), F.ceil(F.max("k") / SPLIT).cast("int").alias("salts"))
+    rows = members.join(largest, "key")
+    salts = F.when(F.col("c") == F.col("big"), F.array(F.pmod(F.xxhash64("rep"), F.col("salts")).cast("int"))).otherwise(F.sequence(F.lit(0), F.col("salts") - 1))
+    rows = rows.withColumn("salt", F.explode(salts)).join(reps, "rep").select("key", "salt", "rep", "c", "n", "sketch", F.lit(None).cast("bigint").alias("other"))
+    # tried pairs of which both are members go along, so that they are not named again
+    here = members.select("key", F.col("rep").alias("a"), F.col("c").alias("ca"))
+    there = members.select("key", F.col("rep").alias("b"), F.col("c").alias("cb"))
+    known = tried.join(here, "a").join(there, ["key", "b"]).where("ca <> cb").join(largest.select("key", "salts"), "key")
+    known = known.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+    known = known.select("key", "salt", F.col("a").alias("rep"), F.col("ca").alias("c"), F.lit(0).alias("n").cast("bigint"), F.lit(None).cast("binary").alias("sketch"), F.col("b").alias("other"))
+    dealt = rows.unionByName(known).repartition(parts, "key", "salt").sortWithinPartitions("key", "salt")
+    return dealt.mapInArrow(_cross_rows(most), "a long, b long").distinct()
+
+
 def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
@@ -305,28 +366,17 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     checked, tried = verify(docs, pairs, reps), pairs
     labels = cut(components(checked.where("linked")), "labels")
 
-    for turn in range(ROUNDS):
+    most = 1
+    while True:
         now = shared.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("c"))
         split = now.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x <> y").select("key")
-        shared = cut(now.join(split, "key"), "shared")
-        sizes = shared.groupBy("key", "c").agg(F.count(F.lit(1)).alias("k"))
-        open_pairs = sizes.groupBy("key").agg(((F.sum("k") * F.sum("k") - F.sum(F.col("k") * F.col("k"))) / 2).alias("p")).agg(F.sum("p")).first()[0] or 0
-        if not open_pairs:
+        fresh = cut(_between(cut(now.join(split, "key"), "shared"), reps, tried, parts, most), "pairs")
+        if fresh.isEmpty():
             break
-        last = open_pairs <= EXHAUST or turn == ROUNDS - 1
-        if last:
-            other = shared.select("key", F.col("rep").alias("b"), F.col("c").alias("cb"))
-            fresh = shared.join(other, "key").where("rep < b AND c <> cb").select(F.col("rep").alias("a"), "b")
-        else:  # one member of each key, the same one for keys with like members
-            pivot = shared.groupBy("key").agg(F.min_by(F.struct("rep", "c"), F.xxhash64("rep", F.lit(turn))).alias("p"))
-            fresh = shared.join(pivot, "key").where("c <> p.c").select(F.col("p.rep").alias("a"), F.col("rep").alias("b"))
-        fresh = cut(_ordered(fresh).join(tried, ["a", "b"], "left_anti"), "pairs")
         tried = tried.unionByName(fresh)
         checked = checked.unionByName(verify(docs, fresh, reps))
         labels = cut(components(checked.where("linked")), "labels")
-        shared = shared.select("key", "rep")
-        if last:
-            break
+        most *= 2
     found = nodes.join(labels, F.col("rep") == F.col("node"), "left")
     return found.select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
 

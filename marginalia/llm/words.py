@@ -107,7 +107,7 @@ class Frequent:
     def __init__(self, keys: np.ndarray, counts: np.ndarray) -> None:
         order = np.argsort(keys)
         self.keys = keys[order]
-        self.weight = np.array([int(n).bit_length() for n in counts], np.int64)[order]
+        self.weight = np.array([int(n).bit_length() for n in counts], np.uint8)[order]
         self.maybe = np.zeros(1 << 22, bool)
         self.maybe[(keys & np.uint64(0x3FFFFF)).astype(np.int64)] = True
 
