@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 from .common import buckets, cut, most_frequent, release, table
 from .words import SECOND, Frequent, chunks, mix, runs, word_bounds, word_hashes
 
-WINDOW, MINI = 20, 6
-FLUSH_BYTES = 12 << 20
+WINDOW, MINI = 20, 3
+FLUSH_BYTES = 16 << 20
 HOT_KEYS, HOT_BLOCK, HOT_LEAST = 65_536, 1_000_000, 8
 NO_ID = -(1 << 63)
 REMOVED = "doc_id long, sum long, first long, end long"
@@ -101,7 +101,7 @@ def _pack(hot: Frequent, n_buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[bytes, tuple] = {}
         gone: list[tuple] = []
-        squeeze = zstandard.ZstdCompressor(level=1)
+        squeeze = zstandard.ZstdCompressor(level=3)
         size = 0
 
         def flush() -> pa.RecordBatch:
@@ -117,7 +117,7 @@ def _pack(hot: Frequent, n_buckets: int):
                 edges = np.flatnonzero(np.concatenate([[True], where[by][1:] != where[by][:-1], [True]]))
                 for a, b in zip(edges[:-1], edges[1:]):
                     own = by[a:b]
-                    head = len(own).to_bytes(8, "little") + ids[own].tobytes() + starts[own].tobytes() + sums[own].tobytes() + counts[own].tobytes()
+                    head = len(own).to_bytes(8, "little") + ids[own].tobytes() + starts[own].astype(np.int32).tobytes() + sums[own].tobytes() + counts[own].tobytes()
                     rows.append((int(where[own[0]]), False, squeeze.compress(head + b" ".join([texts[i] for i in own.tolist()]))))
             if gone:
                 some = _merge(gone)
@@ -193,9 +193,9 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 now, parts = bucket, []
             raw = squeeze.decompress(data.as_py())
             n = int.from_bytes(raw[:8], "little")
-            ids, starts = np.frombuffer(raw, np.int64, n, 8), np.frombuffer(raw, np.int64, n, 8 + 8 * n)
-            sums, counts = np.frombuffer(raw, np.uint32, n, 8 + 16 * n), np.frombuffer(raw, np.int32, n, 8 + 20 * n).astype(np.int64)
-            text = raw[8 + 24 * n :]
+            ids, starts = np.frombuffer(raw, np.int64, n, 8), np.frombuffer(raw, np.int32, n, 8 + 8 * n).astype(np.int64)
+            sums, counts = np.frombuffer(raw, np.uint32, n, 8 + 12 * n), np.frombuffer(raw, np.int32, n, 8 + 16 * n).astype(np.int64)
+            text = raw[8 + 20 * n :]
             h = word_hashes(text, *word_bounds(text))
             edge = np.cumsum(counts) - counts
             windows = counts - WINDOW + 1
