@@ -13,8 +13,6 @@ from ..functions.lists import drop_postscript, link_drawings, split_list
 from ..functions.text import SPACE, clean_choices, clean_problem, extract_choices, strip_space
 from ..sources.registry import NOTICE_POST, REMARK_POSTER
 
-ORDER = Window.partitionBy("test_id").orderBy("pos")
-SO_FAR = ORDER.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 SAME_AS = r"\Asame as ([a-zA-Z]+ ){1,3}(\d+)\z"
 DAY = rf"\A[dD]ay{SPACE}\d+\z"
 
@@ -31,19 +29,21 @@ def flag_items(items: DataFrame) -> DataFrame:
     headers only the last one opens a section; ``same as X n`` advances the number by one; ``Day n``
     makes the type AMO from there on; ``Mixer Round`` opens nothing.
     """
+    order = Window.partitionBy("test_id").orderBy("pos")
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     text = F.col("post.post_canonical")
     headers = ~F.col("computational").eqNullSafe(False)
     rows = items.withColumn("described", _true(F.col("post.post_type") == "view_posts_text") | _true(F.col("post.topic_id") == 0))
-    rows = rows.withColumn("followed", _true(F.lead("described").over(ORDER)))
+    rows = rows.withColumn("followed", _true(F.lead("described").over(order)))
     rows = rows.withColumn("is_header", headers & F.col("described"))
     rows = rows.withColumn("bumps", F.col("is_header") & _true(text.rlike(SAME_AS)))
     lone = F.col("is_header") & ~F.col("followed") & ~F.col("bumps")
-    rows = rows.withColumn("day", F.max(lone & _true(text.rlike(DAY))).over(SO_FAR))
+    rows = rows.withColumn("day", F.max(lone & _true(text.rlike(DAY))).over(so_far))
     rows = rows.withColumn("opens", lone & ~_true(strip_space(text) == "Mixer Round"))
     kept = _true(F.col("post.post_type") == "forum") & ~F.col("item_type").eqNullSafe("post_hidden") & ~F.col("post.post_id").eqNullSafe(NOTICE_POST) & ~F.col("item_text").eqNullSafe("Mixer")
     rows = rows.withColumn("is_problem", ~F.col("is_header") & kept)
-    rows = rows.withColumn("section_no", F.sum(F.col("opens").cast("int")).over(SO_FAR) - 1)
-    return rows.withColumn("type_now", F.when("day", F.lit("AMO")).otherwise(F.col("type_key"))).drop("described", "followed", "day")
+    rows = rows.withColumn("section_no", F.sum(F.col("opens").cast("int")).over(so_far) - 1)
+    return rows.withColumn("type_now", F.when(F.col("day"), F.lit("AMO")).otherwise(F.col("type_key"))).drop("described", "followed", "day")
 
 
 def sections(flagged: DataFrame) -> DataFrame:
