@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+BATCH_ROWS = 2000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,3 +87,23 @@ def release(spark: SparkSession) -> None:
     """Lets Spark drop the shuffle files of plans that nothing refers to any more."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+
+
+def tidy() -> None:
+    """Gives freed memory of a Python worker back, as workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def in_arrow(df: DataFrame, run, schema: str | StructType) -> DataFrame:
+    """``df.mapInArrow`` for long rows: batches of few rows, and memory given back after a task."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            tidy()
+
+    return df.mapInArrow(task, schema)

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, table
+from .common import cut, in_arrow, table
 from .tokens import word_ids
 
 SEPARATOR = 49407
@@ -54,7 +54,7 @@ def token_files(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         if buffer:
             yield rows([bytes(buffer)], block, None)
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string").cast("binary")).mapInArrow(run, "file long, block long, ids binary, doc_ids array<long>")
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string").cast("binary")).transform(in_arrow, run, "file long, block long, ids binary, doc_ids array<long>")
 
 
 def read_token_files(spark: SparkSession, path: str, block_bytes: int = 2 * BLOCK_TOKENS) -> DataFrame:
@@ -68,7 +68,7 @@ def read_token_files(spark: SparkSession, path: str, block_bytes: int = 2 * BLOC
                 for k, at in enumerate(range(0, data.size, block_bytes)):
                     yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([k], pa.int64()), pa.array([data.slice(at, min(block_bytes, data.size - at)).to_pybytes()], pa.binary())], ["file", "block", "ids"])
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, "file string, block long, ids binary")
+    return spark.read.format("binaryFile").load(path).select("path", "content").transform(in_arrow, run, "file string, block long, ids binary")
 
 
 def _scan(separator: int, dtype: str):
@@ -90,7 +90,7 @@ def _scan(separator: int, dtype: str):
 def count_tokens(blocks: DataFrame, separator: int = SEPARATOR, dtype: str = DTYPE) -> DataFrame:
     """file, ordinal (from 0), n_tokens without the separator, for (file, block, ids)."""
     kind = blocks.schema["file"].dataType.simpleString()
-    found = blocks.select("file", "block", "ids").mapInArrow(_scan(separator, dtype), f"file {kind}, block long, n long, n_ends long, head long, tail long, inner array<long>")
+    found = blocks.select("file", "block", "ids").transform(in_arrow, _scan(separator, dtype), f"file {kind}, block long, n long, n_ends long, head long, tail long, inner array<long>")
     order = Window.partitionBy("file").orderBy("block")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     scan = found.select(

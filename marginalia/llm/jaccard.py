@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import buckets, cut, drop, most_frequent, release, table
+from .common import buckets, cut, drop, in_arrow, most_frequent, release, table
 from .graph import components
 from .words import LOWER, ODD, Frequent, chunks, mix, shingle_sets
 
@@ -257,11 +257,11 @@ def _near_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def verify(docs: DataFrame, pairs: DataFrame, reps: DataFrame) -> DataFrame:
     """(a, b, linked) for pairs of ids that their sketches do not rule out, on the whole sets."""
     side = lambda x: reps.select(F.col("rep").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"k{x}"))
-    near = cut(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "ka", "kb").mapInArrow(_near_rows, "a long, b long"), "near")
+    near = cut(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "ka", "kb").transform(in_arrow, _near_rows, "a long, b long"), "near")
     ids = cut(near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct(), "ids")
-    sets = cut(docs.join(ids, "doc_id", "left_semi").mapInArrow(_set_rows, "id long, s binary"), "sets")
+    sets = cut(docs.join(ids, "doc_id", "left_semi").transform(in_arrow, _set_rows, "id long, s binary"), "sets")
     joined = near.join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b").join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a")
-    checked = cut(joined.select("a", "b", "sa", "sb").mapInArrow(_verify_rows, "a long, b long, linked boolean"), "checked")
+    checked = cut(joined.select("a", "b", "sa", "sb").transform(in_arrow, _verify_rows, "a long, b long, linked boolean"), "checked")
     drop(near, ids, sets)
     del joined
     release(docs.sparkSession)
@@ -325,7 +325,7 @@ def _between(members: DataFrame, reps: DataFrame, tried: DataFrame, parts: int,
     known = known.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
     known = known.select("key", "salt", F.col("a").alias("rep"), F.col("ca").alias("c"), F.lit(0).alias("n").cast("bigint"), F.lit(None).cast("binary").alias("sketch"), F.col("b").alias("other"))
     dealt = rows.unionByName(known).repartition(parts, "key", "salt").sortWithinPartitions("key", "salt")
-    return dealt.mapInArrow(_cross_rows(most), "a long, b long").distinct()
+    return dealt.transform(in_arrow, _cross_rows(most), "a long, b long").distinct()
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -336,7 +336,7 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     """doc_id, n_shingles, component_id of every row."""
     spark, parts, spread = docs.sparkSession, buckets(docs, 16 << 20), 1
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text"))
-    profile = cut(docs.mapInArrow(_profile, "hot boolean, a long, b long, c long, d long, sketch binary"), "profile")
+    profile = cut(docs.transform(in_arrow, _profile, "hot boolean, a long, b long, c long, d long, sketch binary"), "profile")
     counts = profile.where("hot").groupBy(F.col("a").alias("key")).agg(F.sum("b").alias("n"))
     hot = Frequent(*most_frequent(counts, HOT_KEYS))
 
@@ -349,8 +349,8 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     reps = classes.where("rep IS NOT NULL").select("rep", "n", "sketch")
 
     while True:
-        blobs = docs.mapInArrow(_signature_blobs(hot, 4 * parts, spread), "bucket int, sigs binary, ids binary")
-        met = cut(blobs.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_meet, "a long, b long, members array<long>"), "met")
+        blobs = docs.transform(in_arrow, _signature_blobs(hot, 4 * parts, spread), "bucket int, sigs binary, ids binary")
+        met = cut(blobs.repartition(parts, "bucket").sortWithinPartitions("bucket").transform(in_arrow, _meet, "a long, b long, members array<long>"), "met")
         if met.where("a IS NULL").isEmpty():
             break
         spread *= 4  # some set filled too few parts: more parts for all

@@ -23,13 +23,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from .common import table
+from .common import in_arrow, table
 from .tokens import is_letter_table
 
 DIMENSIONS = 1024
 ORDER = 3
 SAMPLE = 20_000  # labelled rows that the prototypes are learned from, about
-CHUNK = 2_000_000  # characters handled at once
+CHUNK = 500_000  # characters handled at once
 _TABLES: dict[str, np.ndarray] = {}
 
 
@@ -66,7 +66,7 @@ def vectors(texts: list[str], dimensions: int = DIMENSIONS) -> np.ndarray:
     key, own = key[inside], owner[:n][inside]
     if k**ORDER <= 4_000_000:
         grams = np.flatnonzero(np.bincount(key, minlength=1))
-        rank = np.zeros(k**ORDER, np.int64)
+        rank = np.zeros(k**ORDER, np.int32)
         rank[grams] = np.arange(len(grams))
         gram = rank[key]
     else:
@@ -77,7 +77,7 @@ def vectors(texts: list[str], dimensions: int = DIMENSIONS) -> np.ndarray:
         bound *= np.roll(base, i, axis=1)[left % k]
         left = left // k
     out = np.zeros((len(texts), dimensions))
-    step = max(1, 8_000_000 // max(1, len(grams)))
+    step = max(1, 2_000_000 // max(1, len(grams)))
     bound = bound.astype(np.float32)
     for a in range(0, len(texts), step):
         lo, hi = np.searchsorted(own, [a, a + step])
@@ -122,7 +122,7 @@ def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "lang", sa
                 sums[label] = sums.get(label, 0) + row
         yield pa.RecordBatch.from_arrays([pa.array(sums, pa.string()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], ["label", "total"])
 
-    rows = some.repartition(8).mapInArrow(run, "label string, total binary").collect()
+    rows = some.repartition(8).transform(in_arrow, run, "label string, total binary").collect()
     sums: dict[str, np.ndarray] = {}
     for r in rows:
         sums[r.label] = sums.get(r.label, 0) + np.frombuffer(r.total, np.int64)
@@ -155,7 +155,7 @@ def identify(docs: DataFrame, labels: list[str], protos: np.ndarray, text_col: s
                 pred, score = ["und"] * len(texts), np.zeros(len(texts))
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(pred, pa.string()), pa.array(score, pa.float64())], [*names, "lang_pred", "score"])
 
-    return docs.mapInArrow(run, schema)
+    return docs.transform(in_arrow, run, schema)
 
 
 def held_out(id_col: str = "doc_id") -> Column:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import jpeg
-from .common import table
+from .common import in_arrow, table
 
 ROW = 192
 ROWS = 16  # of a frame
@@ -224,7 +224,7 @@ def store_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             media = encode([pad(x) for x in texts])
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(map(len, texts), pa.int64()), pa.array(media, pa.binary())], ["doc_id", "n_bytes", "media"])
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string").cast("binary")).mapInArrow(run, "doc_id long, n_bytes long, media binary")
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string").cast("binary")).transform(in_arrow, run, "doc_id long, n_bytes long, media binary")
 
 
 CLIPS = "array<struct<clip:int,first_frame:int,end_frame:int,start_s:double,end_s:double>>"
@@ -248,7 +248,7 @@ def read_avi(media: DataFrame, with_payload: bool = True) -> DataFrame:
             rows = [[dict(zip(("clip", "first_frame", "end_frame", "start_s", "end_s"), c)) for c in x] for x in clips]
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(payloads, pa.binary()), pa.array(features, pa.string()), pa.array(rows, clip)], ["doc_id", "n_bytes", "media", "payload", "feature", "clips"])
 
-    return media.select("doc_id", "n_bytes", "media").mapInArrow(run, f"doc_id long, n_bytes long, media binary, payload binary, feature string, clips {CLIPS}")
+    return media.select("doc_id", "n_bytes", "media").transform(in_arrow, run, f"doc_id long, n_bytes long, media binary, payload binary, feature string, clips {CLIPS}")
 
 
 def clip_rows(media: DataFrame) -> DataFrame:

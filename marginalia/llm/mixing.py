@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import cut, drop, table
+from .common import cut, drop, in_arrow, table
 from .words import LOWER, SPACE, Chunk, chunks, word_bounds, word_hashes
 
 DOMAINS = ("clean", "low", "toxic")
@@ -118,7 +118,7 @@ def learn_domains(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
             found = [f.tobytes() for chunk in chunks(iter([batch]), CORE) for f in feature_sets(chunk)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(found, pa.binary())], ["id", "domain", "features"])
 
-    got = picked.mapInArrow(run, "id long, domain int, features binary").collect()
+    got = picked.transform(in_arrow, run, "id long, domain int, features binary").collect()
     if not got:
         return None
     got.sort(key=lambda r: (r.id, bytes(r.features)))
@@ -150,7 +150,7 @@ def posteriors(docs: DataFrame, model: tuple[np.ndarray, np.ndarray] | None, tex
                 counts += np.diff(chunk.first).tolist()
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(counts, pa.int64()), pa.array(rows, pa.list_(pa.float64()))], [*names, "n_tokens", "p"])
 
-    return docs.mapInArrow(run, schema)
+    return docs.transform(in_arrow, run, schema)
 
 
 def rate(steps: list[np.ndarray]) -> Column:

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import in_arrow, table
 from .tokens import word_ids
 
 CAPACITY = 4096
@@ -159,7 +159,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
         if packer.rows:
             yield _batch(packer.rows)
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string").cast("binary")).mapInArrow(run, SCHEMA)
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string").cast("binary")).transform(in_arrow, run, SCHEMA)
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import buckets, cut, most_frequent, release, table
+from .common import buckets, cut, in_arrow, most_frequent, release, table
 from .words import SECOND, Frequent, chunks, mix, runs, word_bounds, word_hashes
 
 WINDOW, MINI = 20, 3
@@ -225,10 +225,10 @@ def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def removed_intervals(docs: DataFrame, parts: int) -> DataFrame:
     """doc_id (NO_ID for null), checksum of the text, and an interval of words that go."""
     spark = docs.sparkSession
-    counts = docs.mapInArrow(_frequent, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    counts = docs.transform(in_arrow, _frequent, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
     hot = Frequent(*most_frequent(counts, HOT_KEYS))
-    packed = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "text").mapInArrow(_pack(hot, 4 * parts), "bucket int, removed boolean, data binary")
-    gone = cut(packed.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_count, REMOVED), "gone")
+    packed = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "text").transform(in_arrow, _pack(hot, 4 * parts), "bucket int, removed boolean, data binary")
+    gone = cut(packed.repartition(parts, "bucket").sortWithinPartitions("bucket").transform(in_arrow, _count, REMOVED), "gone")
     del packed
     release(spark)
     return gone
@@ -240,7 +240,7 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     spans = removed_intervals(whole, buckets(docs, 8 << 20)).groupBy(F.col("doc_id").alias("id"), F.col("sum")).agg(F.collect_list(F.struct("first", "end")).alias("spans"))
     here = whole.withColumns({"id": F.coalesce("doc_id", F.lit(NO_ID)), "sum": F.coalesce(F.crc32("text"), F.lit(0))})
     joined = here.join(spans, ["id", "sum"], "left").select("doc_id", "text", "spans")
-    return joined.mapInArrow(_keep, "doc_id long, n_words long, n_removed long, kept string")
+    return joined.transform(in_arrow, _keep, "doc_id long, n_words long, n_removed long, kept string")
 
 
 def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:

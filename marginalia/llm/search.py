@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, table
+from .common import cut, in_arrow, table
 
 K = 20
 QUERY_STEP = 20
@@ -175,12 +175,12 @@ def top_k(vectors: DataFrame, k: int = K, shard_rows: int = SHARD_ROWS) -> DataF
     deal = lambda df: df.repartition(shards, "dim", "shard").sortWithinPartitions("dim", "shard", "kind")
     typed = lambda df: df.select("dim", "shard", F.col("kind").cast("int"), "vec_id", "v", F.col("floor").cast("long"))
     rows = typed(candidates.withColumns({"kind": F.lit(0), "floor": F.lit(None)}))
-    home = cut(deal(rows).mapInArrow(lambda it: _scan(it, k, True), FOUND), "home")
+    home = cut(deal(rows).transform(in_arrow, lambda it: _scan(it, k, True), FOUND), "home")
     floors = home.groupBy("query_id").agg(F.min("score").alias("floor"), F.count(F.lit(1)).alias("n")).select("query_id", F.when(F.col("n") >= k, F.col("floor")).alias("floor"))
     asked = candidates.where(F.col("vec_id") % QUERY_STEP == 0).join(floors, F.col("vec_id") == F.col("query_id"), "left")
     everywhere = F.explode(F.filter(F.sequence(F.lit(0), F.lit(shards - 1)), lambda s: s != F.col("home")))
     travelling = asked.withColumnRenamed("shard", "home").withColumn("shard", everywhere).withColumn("kind", F.lit(1))
-    away = deal(rows.unionByName(typed(travelling))).mapInArrow(lambda it: _scan(it, k, False), FOUND)
+    away = deal(rows.unionByName(typed(travelling))).transform(in_arrow, lambda it: _scan(it, k, False), FOUND)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return home.unionByName(away).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from xxhash import xxh64_intdigest
 
-from .common import table
+from .common import in_arrow, table
 
 KINDS = ("assign", "access", "hex", "format")
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A)
@@ -157,7 +157,7 @@ def learn(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", sampl
         keys = list(found)
         yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array([found[k] for k in keys], pa.int64())], ["kind", "value", "n"])
 
-    rows = some.mapInArrow(run, "kind string, value string, n long").groupBy("kind", "value").agg(F.sum("n").alias("n")).collect()
+    rows = some.transform(in_arrow, run, "kind string, value string, n long").groupBy("kind", "value").agg(F.sum("n").alias("n")).collect()
     words = {kind: sorted((r.value for r in rows if r.kind == kind), key=lambda v: (xxh64_intdigest(v), v))[:PER_KIND] for kind in LEAST}
     plain = {r.value: r.n for r in rows if r.kind == ""}
     total = sum(plain.values()) + 1
@@ -216,7 +216,7 @@ def find_secrets(docs: DataFrame, model: dict, text_col: str = "text", redact: b
                 columns[at] = pa.array(texts, columns[at].type)
             yield pa.RecordBatch.from_arrays([*columns, pa.array(base, kind), pa.array(every, kind)], [*names, "base_spans", "all_spans"])
 
-    return docs.mapInArrow(run, schema)
+    return docs.transform(in_arrow, run, schema)
 
 
 def span_text(spans: Column) -> Column:
