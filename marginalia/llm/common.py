@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 BATCH_ROWS = 2000
+UNKNOWN_BYTES = 1 << 60  # what Catalyst says of rows that lie in memory
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,7 +81,8 @@ def input_bytes(df: DataFrame) -> int:
 def buckets(df: DataFrame, bytes_per_bucket: int) -> int:
     """Bucket count for a shuffle over ``df``: by its size, at least the session's partitions."""
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(least, -(-input_bytes(df) // bytes_per_bucket))
+    size = input_bytes(df)
+    return max(least, -(-size // bytes_per_bucket)) if size < UNKNOWN_BYTES else least
 
 
 def release(spark: SparkSession) -> None:

@@ -12,8 +12,8 @@ are dropped; the others are verified on the whole sets.
 
 Copies (equal sets) are one node. Documents that share a part are first compared with one of them
 only. Where they are still in different components, the sketches of all members are compared
-between components, and of each two components the nearest pairs that may link are verified, twice
-as many in each round, until every pair that shares a part is in one component, ruled out by its
+between components, and of each two components the nearest pairs that may link are verified, more
+in each round, until every pair that shares a part is in one component, ruled out by its
 sketches, or verified. Nothing is capped.
 
 Defined cases: null texts and texts without words are empty sets, linked with nothing, component
@@ -268,26 +268,54 @@ def verify(docs: DataFrame, pairs: DataFrame, reps: DataFrame) -> DataFrame:
     return checked
 
 
+def _near_pairs(rows: list[tuple]) -> list[tuple[int, int, int]]:
+    """(distance, i, j) of rows in different components that sizes and sketches let through; all
+    sketches of one length are compared in NumPy, block by block."""
+    by: dict[int, list[int]] = {}
+    for i, r in enumerate(rows):
+        by.setdefault(len(r[4]), []).append(i)
+    comp, size = np.array([r[2] for r in rows]), np.array([r[3] for r in rows])
+    table = {k: (np.array(v), np.frombuffer(b"".join(rows[i][4] for i in v), np.uint64).reshape(len(v), -1)) for k, v in by.items()}
+    out = []
+    for k, (mine, x) in table.items():
+        for wide in (k, 2 * k):
+            if wide not in table:
+                continue
+            other, y = table[wide]
+            if wide > k:  # sets that may link differ by less than twice: fold once
+                half = y.shape[1] // 2
+                y = y[:, :half] ^ y[:, half:]
+            step = max(1, 2_000_000 // max(1, y.size))
+            for at in range(0, len(mine), step):
+                i = mine[at : at + step]
+                n, m = size[i][:, None], size[other][None]
+                may = (comp[i][:, None] != comp[other][None]) & (100 * np.minimum(n, m) >= 75 * np.maximum(n, m))
+                if wide == k:
+                    may &= i[:, None] < other[None]
+                u, v = np.nonzero(may)
+                for lo in range(0, len(u), 1 << 16):
+                    a, b = u[lo : lo + (1 << 16)], v[lo : lo + (1 << 16)]
+                    h = np.bitwise_count(x[at + a] ^ y[b]).sum(axis=1, dtype=np.int64)
+                    ok = h <= (size[i[a]] + size[other[b]]) // 7
+                    out += list(zip(h[ok].tolist(), i[a[ok]].tolist(), other[b[ok]].tolist()))
+    return out
+
+
 def _cross_rows(most: int):
     """Rows come sorted by key and salt: of each two components of a group up to ``most`` pairs
     that are not tried and that sizes and sketches let through, those of the least distance first."""
 
     def close(rows: list[tuple]) -> list[tuple]:
-        by: dict[int, list[tuple]] = {}
-        tried = {(r[1], r[5]) for r in rows if r[5] is not None}
-        for r in rows:
-            if r[5] is None:
-                by.setdefault(r[2], []).append(r)
-        groups, out = sorted(by.items(), key=lambda g: -len(g[1])), []
-        for i, (_, small) in enumerate(groups[1:], 1):
-            for _, big in groups[:i]:
-                near = []
-                for x in small:
-                    for y in big:
-                        if 100 * min(x[3], y[3]) >= 75 * max(x[3], y[3]) and (pair := (min(x[1], y[1]), max(x[1], y[1]))) not in tried:
-                            if (h := distance(x[4], y[4])) <= (x[3] + y[3]) // 7:
-                                near.append((h, *pair))
-                out += [p[1:] for p in sorted(near)[:most]]
+        tried = {(min(r[1], r[5]), max(r[1], r[5])) for r in rows if r[5] is not None}
+        rows = [r for r in rows if r[5] is None]
+        taken: dict[tuple, int] = {}
+        out = []
+        for _, i, j in sorted(_near_pairs(rows)):
+            pair = (min(rows[i][1], rows[j][1]), max(rows[i][1], rows[j][1]))
+            between = (min(rows[i][2], rows[j][2]), max(rows[i][2], rows[j][2]))
+            if pair not in tried and taken.get(between, 0) < most:
+                taken[between] = taken.get(between, 0) + 1
+                out.append(pair)
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -366,7 +394,7 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     checked, tried = verify(docs, pairs, reps), pairs
     labels = cut(components(checked.where("linked")), "labels")
 
-    most = 1
+    most = 4
     while True:
         now = shared.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("c"))
         split = now.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x <> y").select("key")
@@ -376,7 +404,7 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         tried = tried.unionByName(fresh)
         checked = checked.unionByName(verify(docs, fresh, reps))
         labels = cut(components(checked.where("linked")), "labels")
-        most *= 2
+        most *= 8
     found = nodes.join(labels, F.col("rep") == F.col("node"), "left")
     return found.select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
 
