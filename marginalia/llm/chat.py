@@ -56,7 +56,7 @@ def render(turns: DataFrame, kept: DataFrame) -> DataFrame:
     clean = lambda c: F.replace(F.coalesce(c, F.lit("")), F.lit("<|"), F.lit("< |"))
     line = lambda t: F.concat(F.lit("<|im_start|>"), clean(t["role"]), F.lit("\n"), clean(t["text"]), F.lit("<|im_end|>\n"))
     lists = (
-        turns.join(kept, "conv_id")
+        turns.select("conv_id", "turn", "role", "text").join(kept, "conv_id")
         .groupBy("conv_id", "n", "n_copies")
         .agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
     )

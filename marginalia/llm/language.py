@@ -135,8 +135,10 @@ def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "lang", sa
 
 
 def identify(docs: DataFrame, labels: list[str], protos: np.ndarray, text_col: str = "text") -> DataFrame:
-    """``docs`` with lang_pred and score; the other columns pass through. Map-only."""
+    """``docs`` with lang_pred and score; the other columns pass through, ones of
+    these names are replaced. Map-only."""
     norms = np.sqrt((protos * protos).sum(axis=1))
+    docs = docs.drop("lang_pred", "score")
     names = docs.columns
     at = names.index(text_col)
     schema = StructType([*docs.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])

@@ -126,7 +126,9 @@ def learn_domains(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
 
 
 def posteriors(docs: DataFrame, model: tuple[np.ndarray, np.ndarray] | None, text_col: str = "text") -> DataFrame:
-    """``docs`` with n_tokens and p, the posterior over DOMAINS. Map-only."""
+    """``docs`` with n_tokens and p, the posterior over DOMAINS; columns of these names are
+    replaced. Map-only."""
+    docs = docs.drop("n_tokens", "p")
     names = docs.columns
     at = names.index(text_col)
     schema = StructType([*docs.schema.fields, *StructType.fromDDL("n_tokens long, p array<double>").fields])
@@ -165,7 +167,8 @@ def rate(steps: list[np.ndarray]) -> Column:
 def solve(scored: DataFrame, weights: dict[str, float]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
     """Step vectors, targets and reached totals for a table with n_tokens and p.
 
-    The total is the largest that no domain with a weight has to exceed what it holds for.
+    The total is the one at which the domain of the largest weight keeps what it holds. A domain
+    that holds under a hundredth of its target is as good as absent and keeps what it holds, too.
     """
     k = len(DOMAINS)
     want = np.array([weights.get(d, 0.0) for d in DOMAINS])
@@ -183,8 +186,8 @@ def solve(scored: DataFrame, weights: dict[str, float]) -> tuple[list[np.ndarray
 
     steps: list[np.ndarray] = []
     reached, gram = sums(steps)
-    held = [reached[i] / want[i] for i in range(k) if want[i] > 0 and reached[i] > 0]
-    target = want * min(held, default=0.0)
+    target = want * (reached[want.argmax()] / want.max() if want.max() > 0 else 0.0)
+    target = np.where(reached < 0.01 * target, reached, target)
     while len(steps) < STEPS and reached.sum() and np.abs(reached - target).max() > TOLERANCE * target.sum():
         ridge = 1e-3 * np.trace(gram) / k + 1e-9
         steps.append(np.round(np.linalg.solve(gram + ridge * np.eye(k), reached - target), 9))

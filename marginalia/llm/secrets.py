@@ -187,7 +187,8 @@ SPANS = "array<struct<kind:string,start:long,end:long>>"
 
 def find_secrets(docs: DataFrame, model: dict, text_col: str = "text", redact: bool = False) -> DataFrame:
     """``docs`` with base_spans and all_spans; with ``redact`` each span of the text reads [secret]
-    instead. The other columns pass through. Map-only."""
+    instead. The other columns pass through, ones of these names are replaced. Map-only."""
+    docs = docs.drop("base_spans", "all_spans")
     names = docs.columns
     at = names.index(text_col)
     schema = StructType([*docs.schema.fields, *StructType.fromDDL(f"base_spans {SPANS}, all_spans {SPANS}").fields])
