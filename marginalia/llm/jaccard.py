@@ -7,7 +7,7 @@ and the number of differing parts bounds the symmetric difference from below. Li
 differ in at most d = (|A| + |B|) / 7 shingles; if A fills more than d parts, some filled part is
 the same in B, and in any common order of parts it is among the first d + 1 of both. So d + 1
 parts of each document and band are joined, those with the rarest shingles first. Candidates whose
-bit sketches (parities of all shingles, as many bits as shingles or more) are further apart than d
+bit sketches (parities of all shingles, four to eight bits for each) are further apart than d
 are dropped; the others are verified on the whole sets.
 
 Copies (equal sets) are one node. Documents that share a part are first compared with one of them
@@ -39,7 +39,7 @@ HOT_KEYS = 1 << 20  # shingles that are ordered by frequency; the bound of what
 HOT_BLOCK, HOT_LEAST = 2_000_000, 3
 FLUSH = 500_000
 SPARSE_PARTS = 1 << 20
-SKETCH_BITS = 1 << 20
+SKETCH_BITS = 1 << 24
 CHUNK = 256
 SPLIT = 8192
 
@@ -55,8 +55,9 @@ def _fingerprint(s: np.ndarray) -> tuple[int, int]:
 
 
 def sketch(s: np.ndarray) -> bytes:
-    """The parity of the number of shingles at each of a power of two of bits, at least |s|."""
-    bits = min(max(64, 1 << len(s).bit_length()), SKETCH_BITS)
+    """The parity of the number of shingles at each of a power of two of bits, over 4 |s|: sparse
+    enough that few differences cancel out."""
+    bits = min(max(64, 1 << (4 * len(s)).bit_length()), SKETCH_BITS)
     counts = np.bincount((mix(s, 11) & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
     return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
 
