@@ -1,6 +1,6 @@
 """Secret scans with inferred grammars.
 
-Three fixed patterns give the base spans. Their matches in a bounded sample of documents are the
+Three fixed patterns give the base spans (of an assignment, the span of its value). Their matches in a bounded sample of documents are the
 labelled credentials: for each kind a prefix tree of them is folded by merging states whose
 outgoing and final frequencies are statistically compatible (Hoeffding bounds), which leaves a
 probabilistic automaton. Every further run of credential characters is then scored by its
@@ -44,7 +44,7 @@ def base_spans(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[int, i
     spans = []
     low = text.encode("utf-8", "surrogatepass").lower()
     if any(k in low for k in ASSIGN_KEYS):
-        spans += [("assign", m.start(), m.end()) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= LEAST["assign"]]
+        spans += [("assign", *m.span(2)) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= LEAST["assign"]]
     runs = [m.span() for m in RUN.finditer(text)]
     for a, b in runs:  # the other two kinds lie within such runs
         for kind, pattern in (("access", ACCESS), ("hex", HEX)):
@@ -148,8 +148,7 @@ def learn(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", sampl
                 for kind, a, b in spans:
                     had[kind] += 1
                     if had[kind] <= PER_DOC:
-                        value = ASSIGN.fullmatch(text, a, b).group(2) if kind == "assign" else text[a:b]
-                        found[kind, value[:TRAIN_CHARS]] += 1
+                        found[kind, text[a:b][:TRAIN_CHARS]] += 1
                 if text:
                     for c, k in Counter(text).items():
                         if c.isascii() and (c.isalnum() or c in "+/_.=-"):
