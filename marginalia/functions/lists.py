@@ -35,13 +35,15 @@ def tagged(tag: str) -> ListStyle:
 STYLES = (PLAIN, tagged("b"))
 
 
-def split_list(c: Column, start: Column | int = 1, styles: tuple[ListStyle, ...] = STYLES) -> Column:
+def split_list(c: Column, start: Column | int = 1, styles: tuple[ListStyle, ...] = STYLES, loose: bool = False) -> Column:
     """The items of a numbered list, [] where the text is none.
 
     The first style that fits decides. An item starts at a line with the next number, counted from
     ``start``; other lines belong to the item before, joined by line feeds; blank lines and lines
-    before the first item are dropped.
+    before the first item are dropped. ``loose`` drops a leading ``[i]...[/i]`` first.
     """
+    if loose:
+        c = F.regexp_replace(c, rf"(?i)\A\[i\]{LINE}*?\[/i\]", "")
     start = F.lit(start) if isinstance(start, int) else start
     lines = F.filter(F.transform(F.split(c, "\n", -1), strip_space), lambda x: x != "")
     empty = F.struct(F.array().cast("array<string>").alias("items"), F.lit(None).cast("string").alias("last"))

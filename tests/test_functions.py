@@ -68,6 +68,7 @@ CASES = [
     (lists.split_list, "1. a\n2.5 b\n2. c", ["a", "5 b\n2. c"]),
     (lists.split_list, "[b]p1.[/b] a\n[b]2[/b] b", ["a", "b"]),
     (lambda c: lists.split_list(c, 3), "3. a\n4. b", ["a", "b"]),
+    (lambda c: lists.split_list(c, loose=True), "[I]by x[/I]1. a\n2. b", ["a", "b"]),
     (classify.infer_type, "USAJMO", "AMO"),
     (classify.infer_type, "AIME (AIME level)", None),
     (classify.infer_type, "OMMC final", "AMO"),
