@@ -42,6 +42,7 @@ SPARSE_PARTS = 1 << 20
 SKETCH_BITS = 1 << 24
 CHUNK = 256
 SPLIT = 8192
+SALT_BITS = 22
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, np.ndarray]]:
@@ -108,8 +109,9 @@ def parts_of(band: int, spread: int = 1) -> int:
     return SPARSE_PARTS * spread if band < 8 else (2 if band < 10 else 1) * spread << band
 
 
-def signatures(s: np.ndarray, hot: Frequent, spread: int = 1) -> tuple[list[np.ndarray], bool]:
-    """The d + 1 rarest parts for each band of a set, and whether each band had more than d."""
+def signatures(s: np.ndarray, hot: Frequent, spread: int = 1) -> tuple[list[tuple[np.ndarray, np.ndarray]], bool]:
+    """The d + 1 rarest parts for each band of a set with the weight of their rarest shingle, and
+    whether each band had more than d parts."""
     out, full, n = [], True, len(s)
     weight = hot.weights(s)
     common = weight.any()
@@ -127,35 +129,43 @@ def signatures(s: np.ndarray, hot: Frequent, spread: int = 1) -> tuple[list[np.n
             rare = np.minimum.reduceat(weight[order], first)
             take = np.lexsort((sig, rare))[: d + 1]
         else:
+            rare = np.zeros(len(sig), np.int64)
             take = np.argpartition(sig, d)[: d + 1] if len(sig) > d + 1 else slice(None)
-        out.append(sig[take])
+        out.append((sig[take], rare[take]))
     return out, full
 
 
-def _signature_blobs(hot: Frequent, n_buckets: int, spread: int):
-    """Rows (bucket, sigs, ids): packed signatures and the document of each."""
+def _signature_blobs(hot: Frequent, n_buckets: int, spread: int, salt_bits: int):
+    """Rows (bucket, salted, sigs, ids): packed signatures and the document of each. Signatures that
+    2**salt_bits or more documents may share are dealt out by document, too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sigs: list[np.ndarray] = []
         ids: list[np.ndarray] = []
+        rare: list[np.ndarray] = []
         seen: set = set()
         size, short = 0, False
 
         def flush() -> pa.RecordBatch:
-            nonlocal sigs, ids, size
+            nonlocal sigs, ids, rare, size
             rows = []
             if sigs:
-                s, i = np.concatenate(sigs), np.concatenate(ids)
+                s, i, w = np.concatenate(sigs), np.concatenate(ids), np.concatenate(rare)
                 bucket = (s >> np.uint64(33)).astype(np.int64) % n_buckets
-                order = np.argsort(bucket, kind="stable")
-                s, i, bucket = s[order], i[order], bucket[order]
-                edges = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
-                rows = [(int(bucket[a]), s[a:b].tobytes(), i[a:b].tobytes()) for a, b in zip(edges[:-1], edges[1:])]
+                salted = w > salt_bits
+                if salted.any():
+                    salt = mix(i[salted].view(np.uint64), 13) & ((np.uint64(1) << (w[salted] - salt_bits).astype(np.uint64)) - np.uint64(1))
+                    bucket[salted] = (mix(s[salted] + salt, 17) >> np.uint64(33)).astype(np.int64) % n_buckets
+                order = np.lexsort((salted, bucket))
+                s, i, bucket, salted = s[order], i[order], bucket[order], salted[order]
+                edges = np.flatnonzero(np.concatenate([[True], (bucket[1:] != bucket[:-1]) | (salted[1:] != salted[:-1]), [True]]))
+                rows = [(int(bucket[a]), bool(salted[a]), s[a:b].tobytes(), i[a:b].tobytes()) for a, b in zip(edges[:-1], edges[1:])]
             if short:
-                rows.append((-1, b"", b""))
-            sigs, ids, size = [], [], 0
-            columns = list(zip(*rows)) or [[]] * 3
-            return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.binary()), pa.array(columns[2], pa.binary())], ["bucket", "sigs", "ids"])
+                rows.append((-1, False, b"", b""))
+            sigs, ids, rare, size = [], [], [], 0
+            columns = list(zip(*rows)) or [[]] * 4
+            kinds = (pa.int32(), pa.bool_(), pa.binary(), pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["bucket", "salted", "sigs", "ids"])
 
         for doc_id, s in _texts(batches):
             if doc_id is None or not len(s) or (f := _fingerprint(s)) in seen:
@@ -165,8 +175,9 @@ def _signature_blobs(hot: Frequent, n_buckets: int, spread: int):
             seen.add(f)
             got, full = signatures(s, hot, spread)
             short |= not full
-            for x in got:
+            for x, w in got:
                 sigs.append(x)
+                rare.append(w)
                 ids.append(np.full(len(x), doc_id, np.int64))
                 size += len(x)
             if size > FLUSH:
@@ -178,12 +189,13 @@ def _signature_blobs(hot: Frequent, n_buckets: int, spread: int):
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Buckets come sorted. Rows: a, b, null for a candidate pair (the smallest id of those that
-    share a signature, another one); key, chunk, members for sets of three or more; short, 0, null
-    where a document filled too few parts."""
-    now, sigs, ids = None, [], []
+    share a signature, another one); key, chunk, members for sets of three or more; nulls where a
+    document filled too few parts. Of a salted signature all members are named, with the signature
+    as their key, so that those of other buckets meet them there."""
+    now, sigs, ids = (None, False), [], []
 
     def close() -> Iterator[pa.RecordBatch]:
-        if now == -1:
+        if now[0] == -1:
             yield _rows([None], [None], [None])
         elif sigs:
             s = np.frombuffer(b"".join(sigs), np.uint64)
@@ -202,7 +214,9 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield _rows(pairs[:, 0], pairs[:, 1], [None] * len(pairs))
             with np.errstate(over="ignore"):
                 key = np.add.reduceat(mix(i.view(np.uint64), 7), first).view(np.int64)
-            big = np.flatnonzero(length >= 3)
+            if now[1]:
+                key = s[first].view(np.int64)
+            big = np.flatnonzero(length >= (1 if now[1] else 3))
             _, pick = np.unique(key[big], return_index=True)
             out: list[tuple] = []
             for r in big[pick]:
@@ -215,10 +229,10 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield _rows(*zip(*out))
 
     for batch in batches:
-        for bucket, s, i in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-            if bucket != now:
+        for bucket, salted, s, i in zip(*(c.to_pylist() for c in batch.columns)):
+            if (bucket, salted) != now:
                 yield from close()
-                now, sigs, ids = bucket, [], []
+                now, sigs, ids = (bucket, salted), [], []
             sigs.append(s)
             ids.append(i)
     yield from close()
@@ -361,8 +375,9 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id of every row."""
+def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salt_bits: int = SALT_BITS) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row. ``salt_bits`` sets from which count on a
+    signature is split over tasks; it changes no result."""
     spark, parts, spread = docs.sparkSession, buckets(docs, 16 << 20), 1
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text"))
     profile = cut(docs.transform(in_arrow, _profile, "hot boolean, a long, b long, c long, d long, sketch binary"), "profile")
@@ -378,8 +393,8 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     reps = classes.where("rep IS NOT NULL").select("rep", "n", "sketch")
 
     while True:
-        blobs = docs.transform(in_arrow, _signature_blobs(hot, 4 * parts, spread), "bucket int, sigs binary, ids binary")
-        met = cut(blobs.repartition(parts, "bucket").sortWithinPartitions("bucket").transform(in_arrow, _meet, "a long, b long, members array<long>"), "met")
+        blobs = docs.transform(in_arrow, _signature_blobs(hot, 4 * parts, spread, salt_bits), "bucket int, salted boolean, sigs binary, ids binary")
+        met = cut(blobs.repartition(parts, "bucket").sortWithinPartitions("bucket", "salted").transform(in_arrow, _meet, "a long, b long, members array<long>"), "met")
         if met.where("a IS NULL").isEmpty():
             break
         spread *= 4  # some set filled too few parts: more parts for all

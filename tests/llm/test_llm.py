@@ -134,6 +134,8 @@ def test_jaccard(spark, docs):
     assert len(got) == len(ROWS)
     assert {(r.doc_id, r.n_shingles, r.component_id) for r in got if r.doc_id is not None} == {(i, len(sets[i]), comp[i]) for i in sets}
     assert sorted((r.n_shingles, r.component_id) for r in got if r.doc_id is None) == [(0, None), (len(sets[0]), comp[0])] or {(r.n_shingles, r.component_id) for r in got if r.doc_id is None} == {(0, None), (len(sets[0]), comp[0])}
+    salted = jaccard.link(docs(ROWS), salt_bits=1).collect()
+    assert {tuple(r) for r in salted} == {tuple(r) for r in got}
     assert jaccard.link(docs(ROWS).limit(0)).count() == 0
 
 
@@ -157,7 +159,7 @@ def test_signatures_meet():
             inter = len(np.intersect1d(a, b))
             if 100 * inter >= 75 * (len(a) + len(b) - inter):
                 (x, full), (y, _) = jaccard.signatures(a, hot), jaccard.signatures(b, hot)
-                assert full and set(np.concatenate(x).tolist()) & set(np.concatenate(y).tolist())
+                assert full and set(np.concatenate([u for u, _ in x]).tolist()) & set(np.concatenate([u for u, _ in y]).tolist())
 
 
 def test_components(spark):
