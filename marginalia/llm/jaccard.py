@@ -43,6 +43,7 @@ SKETCH_BITS = 1 << 24
 CHUNK = 256
 SPLIT = 8192
 SALT_BITS = 22
+PAIRS = 256  # of two components in the first round
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, np.ndarray]]:
@@ -288,9 +289,9 @@ def _near_pairs(rows: list[tuple]) -> list[tuple[int, int, int]]:
     sketches of one length are compared in NumPy, block by block."""
     by: dict[int, list[int]] = {}
     for i, r in enumerate(rows):
-        by.setdefault(len(r[4]), []).append(i)
-    comp, size = np.array([r[2] for r in rows]), np.array([r[3] for r in rows])
-    table = {k: (np.array(v), np.frombuffer(b"".join(rows[i][4] for i in v), np.uint64).reshape(len(v), -1)) for k, v in by.items()}
+        by.setdefault(len(r[3]), []).append(i)
+    comp, size = np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
+    table = {k: (np.array(v), np.frombuffer(b"".join(rows[i][3] for i in v), np.uint64).reshape(len(v), -1)) for k, v in by.items()}
     out = []
     for k, (mine, x) in table.items():
         for wide in (k, 2 * k):
@@ -317,33 +318,40 @@ def _near_pairs(rows: list[tuple]) -> list[tuple[int, int, int]]:
 
 
 def _cross_rows(most: int):
-    """Rows come sorted by key and salt: of each two components of a group up to ``most`` pairs
-    that are not tried and that sizes and sketches let through, those of the least distance first."""
+    """Rows come sorted by part, then sketches and tried pairs (key null), then members by key and
+    salt. Of each two components of a group up to ``most`` pairs that are not tried and that sizes
+    and sketches let through, those of the least distance first; nulls where there were more."""
 
-    def close(rows: list[tuple]) -> list[tuple]:
-        tried = {(min(r[1], r[5]), max(r[1], r[5])) for r in rows if r[5] is not None}
-        rows = [r for r in rows if r[5] is None]
+    def close(rows: list[tuple], tried: set) -> list[tuple]:
         taken: dict[tuple, int] = {}
         out = []
         for _, i, j in sorted(_near_pairs(rows)):
-            pair = (min(rows[i][1], rows[j][1]), max(rows[i][1], rows[j][1]))
-            between = (min(rows[i][2], rows[j][2]), max(rows[i][2], rows[j][2]))
-            if pair not in tried and taken.get(between, 0) < most:
+            pair = (min(rows[i][0], rows[j][0]), max(rows[i][0], rows[j][0]))
+            between = (min(rows[i][1], rows[j][1]), max(rows[i][1], rows[j][1]))
+            if pair not in tried:
                 taken[between] = taken.get(between, 0) + 1
-                out.append(pair)
+                out.append(pair if taken[between] <= most else (None, None))
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, rows, out = None, [], []
+        part, now, sketches, tried, rows = None, None, {}, set(), []
         for batch in batches:
-            for r in zip(*(batch.column(c).to_pylist() for c in ("key", "rep", "c", "n", "sketch", "other", "salt"))):
-                if (r[0], r[6]) != now:
-                    out += close(rows)
-                    now, rows = (r[0], r[6]), []
-                rows.append(r)
-            yield _two(out)
-            out = []
-        yield _two(close(rows))
+            out: list[tuple] = []
+            for at, key, salt, rep, c, n, x, other in zip(*(col.to_pylist() for col in batch.columns)):
+                if (at, key, salt) != (part, *(now or (None, None))):
+                    out += close(rows, tried)
+                    rows = []
+                    if at != part:
+                        part, sketches, tried = at, {}, set()
+                    now = (key, salt)
+                if key is not None:
+                    rows.append((rep, c, *sketches[rep]))
+                elif other is None:
+                    sketches[rep] = (n, x)
+                else:
+                    tried.add((min(rep, other), max(rep, other)))
+            yield _two(sorted(set(out), key=str))
+        yield _two(close(rows, tried))
 
     return run
 
@@ -355,19 +363,20 @@ def _two(pairs: list[tuple]) -> pa.RecordBatch:
 
 def _between(members: DataFrame, reps: DataFrame, tried: DataFrame, parts: int, most: int) -> DataFrame:
     """Untried pairs (a, b) between components of (key, rep, c). A group's largest component is
-    spread over several salts, the others go to each of them."""
-    sizes = members.groupBy("key", "c").agg(F.count(F.lit(1)).alias("k"))
-    largest = sizes.groupBy("key").agg(F.max_by("c", F.struct("k", "c")).alias("big"), F.ceil(F.max("k") / SPLIT).cast("int").alias("salts"))
-    rows = members.join(largest, "key")
+    spread over several salts, the others go to each of them. Groups with the same least member go
+    to one part, to which a sketch travels once."""
+    sizes = members.groupBy("key", "c").agg(F.count(F.lit(1)).alias("k"), F.min("rep").alias("least"))
+    largest = sizes.groupBy("key").agg(F.max_by("c", F.struct("k", "c")).alias("big"), F.ceil(F.max("k") / SPLIT).cast("int").alias("salts"), F.min("least").alias("least"))
     salts = F.when(F.col("c") == F.col("big"), F.array(F.pmod(F.xxhash64("rep"), F.col("salts")).cast("int"))).otherwise(F.sequence(F.lit(0), F.col("salts") - 1))
-    rows = rows.withColumn("salt", F.explode(salts)).join(reps, "rep").select("key", "salt", "rep", "c", "n", "sketch", F.lit(None).cast("bigint").alias("other"))
-    # tried pairs of which both are members go along, so that they are not named again
-    here = members.select("key", F.col("rep").alias("a"), F.col("c").alias("ca"))
-    there = members.select("key", F.col("rep").alias("b"), F.col("c").alias("cb"))
-    known = tried.join(here, "a").join(there, ["key", "b"]).where("ca <> cb").join(largest.select("key", "salts"), "key")
-    known = known.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
-    known = known.select("key", "salt", F.col("a").alias("rep"), F.col("ca").alias("c"), F.lit(0).alias("n").cast("bigint"), F.lit(None).cast("binary").alias("sketch"), F.col("b").alias("other"))
-    dealt = rows.unionByName(known).repartition(parts, "key", "salt").sortWithinPartitions("key", "salt")
+    rows = members.join(largest, "key").withColumn("salt", F.explode(salts))
+    rows = cut(rows.select(F.pmod(F.xxhash64("least", "salt"), F.lit(16 * parts)).cast("int").alias("part"), "key", "salt", "rep", "c"), "dealt")
+    here = cut(rows.select("part", "rep").distinct(), "here")
+    typed = lambda df, **more: df.select("part", *[more.get(c, F.lit(None)).cast(t).alias(c) for c, t in (("key", "bigint"), ("salt", "int"), ("rep", "bigint"), ("c", "bigint"), ("n", "bigint"), ("sketch", "binary"), ("other", "bigint"))])
+    col = F.col
+    sketches = typed(here.join(reps, "rep"), rep=col("rep"), n=col("n"), sketch=col("sketch"))
+    known = typed(here.join(tried, col("rep") == col("a")), rep=col("a"), other=col("b"))
+    groups = typed(rows, key=col("key"), salt=col("salt"), rep=col("rep"), c=col("c"))
+    dealt = sketches.unionByName(known).unionByName(groups).repartition(parts, "part").sortWithinPartitions("part", "key", "salt")
     return dealt.transform(in_arrow, _cross_rows(most), "a long, b long").distinct()
 
 
@@ -389,7 +398,7 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salt_b
     classes = cut(classes, "classes")
     nodes = rows.select("doc_id", "n", "c", "d").join(classes.select("n", "c", "d", "rep"), ["n", "c", "d"], "left")
     nodes = cut(nodes.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("rep")).otherwise(F.col("doc_id")).alias("rep")), "nodes")
-    named = nodes.where("doc_id IS NOT NULL AND n_shingles > 0").select("doc_id", "rep").distinct()
+    named = nodes.where("doc_id IS NOT NULL AND n_shingles > 0").select("doc_id", "rep", F.col("n_shingles").alias("n")).distinct()
     reps = classes.where("rep IS NOT NULL").select("rep", "n", "sketch")
 
     while True:
@@ -401,26 +410,26 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salt_b
     del blobs
     release(spark)
 
-    side = lambda x: named.select(F.col("doc_id").alias(x), F.col("rep").alias(f"rep_{x}"))
+    side = lambda x: named.select(F.col("doc_id").alias(x), F.col("rep").alias(f"rep_{x}"), F.col("n").alias(f"n{x}"))
     pairs = met.where("members IS NULL").select("a", "b").distinct().join(side("a"), "a").join(side("b"), "b")
+    pairs = pairs.where("100 * least(na, nb) >= 75 * greatest(na, nb)")
     pairs = cut(_ordered(pairs.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))), "pairs")
     shared = met.where("members IS NOT NULL").select(F.col("a").alias("key"), F.explode("members").alias("doc_id"))
-    shared = cut(shared.join(named, "doc_id").select("key", "rep").distinct(), "shared")
+    shared = cut(shared.join(named.select("doc_id", "rep"), "doc_id").select("key", "rep").distinct(), "shared")
     drop(met)
     checked, tried = verify(docs, pairs, reps), pairs
     labels = cut(components(checked.where("linked")), "labels")
 
-    most = 4
-    while True:
+    most, more = PAIRS, True
+    while more:
         now = shared.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("c"))
         split = now.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x <> y").select("key")
-        fresh = cut(_between(cut(now.join(split, "key"), "shared"), reps, tried, parts, most), "pairs")
-        if fresh.isEmpty():
-            break
-        tried = tried.unionByName(fresh)
-        checked = checked.unionByName(verify(docs, fresh, reps))
-        labels = cut(components(checked.where("linked")), "labels")
-        most *= 8
+        found = cut(_between(cut(now.join(split, "key"), "shared"), reps, tried, parts, most), "pairs")
+        fresh, more = found.where("a IS NOT NULL"), not found.where("a IS NULL").isEmpty()
+        latest = verify(docs, fresh, reps)
+        tried, checked, most = tried.unionByName(fresh), checked.unionByName(latest), 8 * most
+        if not latest.where("linked").isEmpty():
+            labels = cut(components(checked.where("linked")), "labels")
     found = nodes.join(labels, F.col("rep") == F.col("node"), "left")
     return found.select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
 
