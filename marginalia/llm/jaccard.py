@@ -364,12 +364,14 @@ def _two(pairs: list[tuple]) -> pa.RecordBatch:
 def _between(members: DataFrame, reps: DataFrame, tried: DataFrame, parts: int, most: int) -> DataFrame:
     """Untried pairs (a, b) between components of (key, rep, c). A group's largest component is
     spread over several salts, the others go to each of them. Groups with the same least member go
-    to one part, to which a sketch travels once."""
+    to one part, to which a sketch travels once, or to as many as their rows need."""
     sizes = members.groupBy("key", "c").agg(F.count(F.lit(1)).alias("k"), F.min("rep").alias("least"))
-    largest = sizes.groupBy("key").agg(F.max_by("c", F.struct("k", "c")).alias("big"), F.ceil(F.max("k") / SPLIT).cast("int").alias("salts"), F.min("least").alias("least"))
+    largest = sizes.groupBy("key").agg(F.max_by("c", F.struct("k", "c")).alias("big"), F.ceil(F.max("k") / SPLIT).cast("int").alias("salts"), F.min("least").alias("least"), F.sum("k").alias("size"))
+    spread = largest.groupBy("least").agg(F.ceil(F.sum("size") / SPLIT).alias("spread"))
+    largest = largest.join(spread, "least")
     salts = F.when(F.col("c") == F.col("big"), F.array(F.pmod(F.xxhash64("rep"), F.col("salts")).cast("int"))).otherwise(F.sequence(F.lit(0), F.col("salts") - 1))
     rows = members.join(largest, "key").withColumn("salt", F.explode(salts))
-    rows = cut(rows.select(F.pmod(F.xxhash64("least", "salt"), F.lit(16 * parts)).cast("int").alias("part"), "key", "salt", "rep", "c"), "dealt")
+    rows = cut(rows.select(F.pmod(F.xxhash64("least", "salt", F.pmod(F.xxhash64("key"), F.col("spread"))), F.lit(16 * parts)).cast("int").alias("part"), "key", "salt", "rep", "c"), "dealt")
     here = cut(rows.select("part", "rep").distinct(), "here")
     typed = lambda df, **more: df.select("part", *[more.get(c, F.lit(None)).cast(t).alias(c) for c, t in (("key", "bigint"), ("salt", "int"), ("rep", "bigint"), ("c", "bigint"), ("n", "bigint"), ("sketch", "binary"), ("other", "bigint"))])
     col = F.col
