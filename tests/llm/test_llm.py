@@ -32,6 +32,10 @@ def corpus(seed=1):
         w = rows[i][1].split()
         w[rng.randrange(len(w))] = "changed"
         rows.append((200 + i, "\n".join(w).upper()))
+    chain = prose(rng, 100).split()
+    for i in range(8):
+        chain[9 * i : 9 * i + 9] = prose(rng, 9).split()
+        rows.append((250 + i, " ".join(chain)))
     rows += [(300 + i, prose(rng, 20) + "  " + passage + " " + prose(rng, 30)) for i in range(10)]
     rows += [(400, None), (401, ""), (402, " \t\n"), (403, "one"), (404, "ONE"), (405, "a b c d"), (406, prose(rng, 20_000)), (None, rows[0][1]), (None, None)]
     rows += [(0, rows[0][1]), (407, "x " * 300), (408, "é ß 日本 \U0001f600 " * 3), (409, "a b c d e")]
@@ -118,7 +122,7 @@ def shingles(text):
     return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
 
 
-def test_jaccard(spark, docs):
+def test_jaccard(spark, docs, monkeypatch):
     sets = {}
     for i, t in ROWS:
         if i is not None:
@@ -134,6 +138,8 @@ def test_jaccard(spark, docs):
     assert len(got) == len(ROWS)
     assert {(r.doc_id, r.n_shingles, r.component_id) for r in got if r.doc_id is not None} == {(i, len(sets[i]), comp[i]) for i in sets}
     assert sorted((r.n_shingles, r.component_id) for r in got if r.doc_id is None) == [(0, None), (len(sets[0]), comp[0])] or {(r.n_shingles, r.component_id) for r in got if r.doc_id is None} == {(0, None), (len(sets[0]), comp[0])}
+    monkeypatch.setattr(jaccard, "SPLIT", 2)  # many salts and parts, many rounds
+    monkeypatch.setattr(jaccard, "PAIRS", 1)
     salted = jaccard.link(docs(ROWS), salt_bits=1).collect()
     assert {tuple(r) for r in salted} == {tuple(r) for r in got}
     assert jaccard.link(docs(ROWS).limit(0)).count() == 0
