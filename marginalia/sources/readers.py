@@ -1,6 +1,6 @@
 """Raw records from JSON: pages of categories, topics and forums.
 
-The transport is not part of this: pages lie as JSON files (one response each line) in any folder
+The transport is in ``transport``; here pages lie as JSON files (one response each line) in any folder
 that Spark reads, and page numbers replace the cursor of a live scan.
 """
 
