@@ -1,7 +1,7 @@
 """The corpus pipeline: documents to packed training sequences.
 
 Each stage works on all that the stage before kept, its output is written as Parquet and read
-again, and all but the last return the columns of ``documents``.
+again, and all but the last return the columns of ``documents`` (others are left out).
 """
 
 from __future__ import annotations
@@ -12,12 +12,14 @@ from pyspark.sql import functions as F
 from marginalia.llm import jaccard, language, mixing, packing, secrets
 from marginalia.llm.common import cut, table
 
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 MIN_LANGUAGE_SCORE = 0.02  # under it a text is like none of the learned languages
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts without a letter and texts that resemble no learned language. Single short
     words may share nothing with any profile; they stay."""
+    docs = docs.select(*COLUMNS)
     labels, protos = language.fit(docs)
     found = language.identify(docs, labels, protos)
     reject = (F.col("lang_pred") == "und") | (F.col("score") < MIN_LANGUAGE_SCORE) & (F.length("text") >= 40)
@@ -26,6 +28,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest doc_id of each component; rows without a doc_id pass."""
+    docs = docs.select(*COLUMNS)
     first = cut(jaccard.link(docs).where("component_id = doc_id").select("doc_id").distinct(), "first")
     kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return kept.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
@@ -33,12 +36,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces every secret by a mark; no document goes."""
+    docs = docs.select(*COLUMNS)
     found = secrets.find_secrets(docs, secrets.learn(docs), redact=True)
     return found.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes each document as often as its rate says."""
+    docs = docs.select(*COLUMNS)
     mixed = mixing.mix(docs, table(spark, sf_dir, "labels")).withColumn("copies", mixing.copies())
     taken = mixed.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     return taken.select(*docs.columns)
