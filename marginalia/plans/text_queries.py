@@ -54,7 +54,7 @@ def list_postscript(spark, sf_dir):
 
 
 def entity_latex(spark, sf_dir):
-    return read(spark, sf_dir, "pages").select("page_id", text.format_latex(F.substring("html", 1, 300)).alias("latex"))
+    return read(spark, sf_dir, "pages").select("page_id", text.format_latex(F.col("html")).alias("latex"))
 
 
 def html_sanitize(spark, sf_dir):

@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__
-from marginalia.plans import catalogue
+from marginalia.plans import catalogue, sql
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -41,6 +41,11 @@ def test_query(spark, duck, name):
     same(spark, duck, catalogue.QUERIES[name], catalogue.ORACLE_SQL[name])
 
 
+def test_latex_of_whole_pages(spark, duck):
+    """Every character of a page is read."""
+    same(spark, duck, catalogue.QUERIES["entity_latex"], f"SELECT page_id, {sql.latex('html')} AS latex FROM pages")
+
+
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
