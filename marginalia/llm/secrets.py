@@ -3,12 +3,12 @@
 Three fixed patterns give the base spans (of an assignment, the span of its value). Their matches in a bounded sample of documents are the
 labelled credentials: for each kind a prefix tree of them is folded by merging states whose
 outgoing and final frequencies are statistically compatible (Hoeffding bounds), which leaves a
-probabilistic automaton. Every further run of credential characters is then scored by its
-likelihood under the automata against the characters of ordinary text; runs over the threshold are
-added as kind ``format``. Base spans always stay.
+probabilistic automaton. What base spans and the labels of assignments leave of every run of 8 or
+more credential characters is then scored by its likelihood under the automata against that of
+ordinary text; parts over the threshold are added as kind ``format``. Base spans always stay.
 
-Defined cases: a null text is empty; offsets are code points, end exclusive; a run that overlaps a
-base span adds nothing; without labelled credentials only base spans are found; rows that repeat
+Defined cases: a null text is empty; offsets are code points, end exclusive; parts of
+under 8 characters add nothing; without labelled credentials only base spans are found; rows that repeat
 give repeated rows; null ids are kept; an empty table gives no rows.
 """
 
@@ -17,7 +17,8 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,25 +33,49 @@ ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20
 ASSIGN_KEYS = (b"passw", b"secret", b"token", b"api")
 ACCESS = re.compile("AKIA[A-Z0-9]+")
 HEX = re.compile("[0-9a-f]+")
-RUN = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{16,}+")
+RUN = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{8,}+")
 LEAST = {"assign": 8, "access": 16, "hex": 32}
 SAMPLE_DOCS = 20_000  # documents that credentials are learned from, about
 PER_DOC, PER_KIND, TRAIN_CHARS = 4, 300, 64  # credentials of a document and of a kind, characters of each
+SEEN_WORDS = 1 << 16  # words whose verdict a task remembers
 ALPHA, THRESHOLD, FLOOR = 0.05, 1.0, 1e-4
 
 
 def base_spans(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[int, int]]]:
-    """Base spans by start and kind, and all runs of 16 or more credential characters."""
-    spans = []
+    """Base spans by start and kind, and what they and their labels leave of all runs of 8 or more
+    credential characters."""
+    spans, used = [], []
     low = text.encode("utf-8", "surrogatepass").lower()
     if any(k in low for k in ASSIGN_KEYS):
-        spans += [("assign", *m.span(2)) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= LEAST["assign"]]
+        named = [m for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= LEAST["assign"]]
+        spans += [("assign", *m.span(2)) for m in named]
+        used += [m.span() for m in named]
     runs = [m.span() for m in RUN.finditer(text)]
     for a, b in runs:  # the other two kinds lie within such runs
-        for kind, pattern in (("access", ACCESS), ("hex", HEX)):
-            spans += [(kind, m.start(), m.end()) for m in pattern.finditer(text, a, b) if m.end() - m.start() >= LEAST[kind]]
+        if b - a >= LEAST["access"]:
+            for kind, pattern in (("access", ACCESS), ("hex", HEX)):
+                found = [m.span() for m in pattern.finditer(text, a, b) if m.end() - m.start() >= LEAST[kind]]
+                spans += [(kind, *f) for f in found]
+                used += found
     spans.sort(key=lambda s: (s[1], KINDS.index(s[0])))
-    return spans, runs
+    return spans, outside(runs, sorted(used)) if used else runs
+
+
+def outside(runs: list[tuple[int, int]], used: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The parts of the runs that are in none of the used spans; both are sorted."""
+    parts, k = [], 0
+    for a, b in runs:
+        while k < len(used) and used[k][1] <= a:
+            k += 1
+        at = k
+        while at < len(used) and used[at][0] < b:
+            if used[at][0] > a:
+                parts.append((a, used[at][0]))
+            a = max(a, used[at][1])
+            at += 1
+        if a < b:
+            parts.append((a, b))
+    return parts
 
 
 def infer(words: list[str], alpha: float = ALPHA) -> list[dict]:
@@ -164,18 +189,29 @@ def learn(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", sampl
     return {"machines": {kind: infer(w) for kind, w in words.items() if w}, "plain": logs}
 
 
-def added_spans(text: str, spans: list[tuple[str, int, int]], runs: list[tuple[int, int]], model: dict) -> list[tuple[str, int, int]]:
-    """Runs outside the base spans whose likelihood ratio for each character is over THRESHOLD."""
+def plain_likelihood(plain: dict[str, float], word: str) -> float:
+    """Log-likelihood of a word as ordinary text; words in capitals and numbers, also dates and
+    the like, are ordinary text too."""
+    best = sum(plain[c] for c in word)
+    if word.isupper():
+        best = max(best, sum(plain[c] for c in word.lower()))
+    if not any(c.isalpha() for c in word):
+        best = max(best, -len(word) * math.log(10))
+    return best
+
+
+def is_format(word: str, model: dict) -> bool:
+    """Whether the likelihood ratio for each character is over THRESHOLD."""
+    best = max((likelihood(m, word) for m in model["machines"].values()), default=-math.inf)
+    return (best - plain_likelihood(model["plain"], word)) / len(word) > THRESHOLD
+
+
+def added_spans(text: str, parts: list[tuple[int, int]], judge: Callable[[str], bool]) -> list[tuple[str, int, int]]:
+    """The parts that ``judge`` takes for credentials, without punctuation at their ends."""
     out = []
-    for a, b in runs:
+    for a, b in parts:
         word = text[a:b].strip(".=-")
-        if word.isalpha() or len(word) < LEAST["assign"] or any(s < b and a < e for _, s, e in spans):
-            continue
-        plain = sum(model["plain"][c] for c in word)
-        if word.isdigit():  # a number is ordinary text too
-            plain = max(plain, -len(word) * math.log(10))
-        best = max((likelihood(m, word) for m in model["machines"].values()), default=-math.inf)
-        if (best - plain) / len(word) > THRESHOLD:
+        if len(word) >= LEAST["assign"] and judge(word):
             start = text.index(word, a)
             out.append(("format", start, start + len(word)))
     return out
@@ -195,21 +231,22 @@ def find_secrets(docs: DataFrame, model: dict, text_col: str = "text", redact: b
     rows = lambda spans: [{"kind": k, "start": a, "end": b} for k, a, b in spans]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        judge = lru_cache(SEEN_WORDS)(lambda word: is_format(word, model))
         for batch in batches:
             base, every, texts = [], [], []
             for text in batch.column(at).to_pylist():
-                spans, runs = base_spans(text or "")
-                more = spans + added_spans(text or "", spans, runs, model)
+                spans, parts = base_spans(text or "")
+                more = spans + added_spans(text or "", parts, judge)
                 more.sort(key=lambda s: (s[1], KINDS.index(s[0])))
                 base.append(rows(spans))
                 every.append(rows(more))
                 if redact and more:
-                    parts, end = [], 0
+                    pieces, end = [], 0
                     for _, a, b in more:
                         if a >= end:
-                            parts += [text[end:a], "[secret]"]
+                            pieces += [text[end:a], "[secret]"]
                         end = max(end, b)
-                    text = "".join(parts) + text[end:]
+                    text = "".join(pieces) + text[end:]
                 texts.append(text)
             columns = list(batch.columns)
             if redact:

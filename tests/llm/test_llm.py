@@ -326,6 +326,27 @@ def test_secrets(spark, docs):
     assert empty["machines"] == {} and secrets.find_secrets(table.limit(0), empty).count() == 0
 
 
+def test_every_part_of_a_run_is_scored(spark, docs):
+    rng = random.Random(10)
+    code = lambda n: "".join(rng.choice("ABCDEFGHJKMNPQRSTUVWXYZabcdefghjkmnpqrstuvwxyz23456789") for _ in range(n))
+    letters = "".join(rng.choice("ABCDEFGHJKMNPQRSTUVWXYZ") + rng.choice("abcdefghjkmnpqrstuvwxyz") for _ in range(20))
+    short, second, before, key = code(12), code(20), code(20), "AKIA" + "Q7" * 8
+    rows = [(i, f"{prose(rng, 30)} password={code(12)} {prose(rng, 5)}") for i in range(300)]
+    odd = [f"a {short} b", f"a {letters} b", f"a {key}={second} b", f"a {before}/token={code(12)} b", "on 2024-03-17 the INTERNATIONAL standards 192.168.10.25"]
+    table = docs(rows + [(500 + i, t) for i, t in enumerate(odd)])
+    found = {r.doc_id: [r.text[s.start : s.end] for s in r.all_spans if s.kind == "format"] for r in secrets.find_secrets(table, secrets.learn(table)).collect()}
+    assert found[500] == [short] and found[501] == [letters] and found[502] == [second] and found[503] == [before + "/"] and found[504] == []
+    assert not any(found[i] for i in range(300))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(st.sampled_from("passwordtokenAKIAQ09af=: '\"-é"), max_size=120))
+def test_parts_cover_runs(text):
+    spans, parts = secrets.base_spans(text)
+    used = {i for m in secrets.ASSIGN.finditer(text) if len(m[2]) >= 8 for i in range(*m.span())} | {i for _, a, b in spans for i in range(a, b)}
+    assert [i for a, b in parts for i in range(a, b)] == [i for m in secrets.RUN.finditer(text) for i in range(*m.span()) if i not in used]
+
+
 def test_inferred_automaton_prefers_its_format():
     rng = random.Random(9)
     machine = secrets.infer(["AKIA" + "".join(rng.choice("ABCDEFGH234567") for _ in range(16)) for _ in range(200)])
