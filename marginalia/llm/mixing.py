@@ -5,7 +5,8 @@ A document's tokens count for the domains in these shares. Rates r >= 0 for docu
 squared differences of the expected domain token totals sum(r * tokens * p) from their targets by
 projected gradient steps that start at r = 1. A step needs sums over all documents only (totals and
 the Gram matrix that sets the step); rates are replayed from the few step vectors, so nothing is
-stored for each document but its tokens and posterior.
+stored for each document but its tokens and posterior. Toxic text is never multiplied: its target is
+at most what it holds, and documents whose likeliest domain it is have rates of 1 at most.
 
 Domains: ``toxic`` (toxic = 1), ``low`` (quality = 0) and ``clean`` (the rest). Tokens are words.
 
@@ -34,6 +35,7 @@ SAMPLE = 20_000  # labelled documents that the classifier is fitted on, about
 FEATURES = 1 << 20
 STEPS, TOLERANCE = 25, 1e-4
 SLACK = 0.15
+CAPPED = DOMAINS.index("toxic")  # never taken more than once
 ALNUM = np.array([c > 127 or chr(c).isalnum() for c in range(256)])
 CORE = np.where(ALNUM, LOWER, np.uint64(0))
 KIND = np.array([97 if c > 127 or chr(c).islower() else 65 if chr(c).isupper() else 48 if chr(c).isdigit() else 32 if SPACE[c] else c for c in range(256)], np.uint8)
@@ -156,11 +158,13 @@ def posteriors(docs: DataFrame, model: tuple[np.ndarray, np.ndarray] | None, tex
 
 
 def rate(steps: list[np.ndarray]) -> Column:
-    """The rate after the given steps: each takes p . step away and projects onto r >= 0."""
+    """The rate after the given steps: each takes p . step away and projects onto r >= 0, and onto
+    r <= 1 where the capped domain is the likeliest."""
     r = F.lit(1.0)
+    most = F.when(F.col("p")[CAPPED] >= F.array_max("p"), F.lit(1.0)).otherwise(F.lit(float("inf")))
     for step in steps:
         move = sum((F.col("p")[k] * F.lit(float(s)) for k, s in enumerate(step)), F.lit(0.0))
-        r = F.greatest(F.lit(0.0), r - move)
+        r = F.least(most, F.greatest(F.lit(0.0), r - move))
     return F.round(r, 6)
 
 
@@ -168,7 +172,8 @@ def solve(scored: DataFrame, weights: dict[str, float]) -> tuple[list[np.ndarray
     """Step vectors, targets and reached totals for a table with n_tokens and p.
 
     The total is the one at which the domain of the largest weight keeps what it holds. A domain
-    that holds under a hundredth of its target is as good as absent and keeps what it holds, too.
+    that holds under a hundredth of its target is as good as absent and keeps what it holds, too;
+    the capped domain's target is at most what it holds.
     """
     k = len(DOMAINS)
     want = np.array([weights.get(d, 0.0) for d in DOMAINS])
@@ -188,6 +193,7 @@ def solve(scored: DataFrame, weights: dict[str, float]) -> tuple[list[np.ndarray
     reached, gram = sums(steps)
     target = want * (reached[want.argmax()] / want.max() if want.max() > 0 else 0.0)
     target = np.where(reached < 0.01 * target, reached, target)
+    target[CAPPED] = min(target[CAPPED], reached[CAPPED])
     while len(steps) < STEPS and reached.sum() and np.abs(reached - target).max() > TOLERANCE * target.sum():
         ridge = 1e-3 * np.trace(gram) / k + 1e-9
         steps.append(np.round(np.linalg.solve(gram + ridge * np.eye(k), reached - target), 9))

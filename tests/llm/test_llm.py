@@ -275,6 +275,22 @@ def test_mixing(spark):
     assert mixing.mix(table.limit(0), known).count() == 0
 
 
+@pytest.mark.parametrize("every", [330, 100, 10])
+def test_toxic_text_is_never_multiplied(spark, every):
+    """0.3 %, 1 % and 10 % of the texts are toxic; the rare ones stay once, the many are cut down."""
+    rng = random.Random(7)
+    rows = []
+    for i in range(3300):
+        kind = 2 if i % every == 0 else 1 if i % 12 == 1 else 0
+        rows.append((i, prose(rng, 40) + (" scum scum trash" if kind == 2 else " ach&&& noe&&&" if kind == 1 else "")))
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    known = spark.createDataFrame([(i, int(i % every == 0 or i % 12 != 1), int(i % every == 0)) for i in range(3300)], "doc_id long, quality int, toxic int")
+    toxic = [r for r in mixing.mix(table, known).withColumn("k", mixing.copies()).collect() if r.doc_id % every == 0]
+    assert all(r.rate <= 1 and r.k <= 1 for r in toxic)
+    share = np.mean([r.k for r in toxic])
+    assert share < 0.3 if every == 10 else share > 0.7
+
+
 # chat
 
 def test_chat(spark):
