@@ -1,7 +1,7 @@
 """Secret scans with inferred grammars.
 
-Three fixed patterns give the base spans (of an assignment, the span of its value). Their matches in a bounded sample of documents are the
-labelled credentials: for each kind a prefix tree of them is folded by merging states whose
+Three fixed patterns give the base spans (of an assignment, the span of its value). Their distinct matches in all documents are the
+labelled credentials: for each kind a prefix tree of a bounded sample of them is folded by merging states whose
 outgoing and final frequencies are statistically compatible (Hoeffding bounds), which leaves a
 probabilistic automaton. What base spans and the labels of assignments leave of every run of 8 or
 more credential characters is then scored by its likelihood under the automata against that of
@@ -16,17 +16,17 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from xxhash import xxh64_intdigest
 
-from .common import in_arrow, table
+from .common import cut, drop, in_arrow, table
 
 KINDS = ("assign", "access", "hex", "format")
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A)
@@ -35,8 +35,7 @@ ACCESS = re.compile("AKIA[A-Z0-9]+")
 HEX = re.compile("[0-9a-f]+")
 RUN = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{8,}+")
 LEAST = {"assign": 8, "access": 16, "hex": 32}
-SAMPLE_DOCS = 20_000  # documents that credentials are learned from, about
-PER_DOC, PER_KIND, TRAIN_CHARS = 4, 300, 64  # credentials of a document and of a kind, characters of each
+PER_KIND, TRAIN_CHARS = 300, 64  # credentials of a kind, characters of each
 SEEN_WORDS = 1 << 16  # words whose verdict a task remembers
 ALPHA, THRESHOLD, FLOOR = 0.05, 1.0, 1e-4
 
@@ -155,35 +154,37 @@ def likelihood(machine: list[dict], word: str) -> float:
     return total + machine[at][""][1]
 
 
-def learn(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", sample: int = SAMPLE_DOCS) -> dict:
+def learn(docs: DataFrame, text_col: str = "text") -> dict:
     """{"machines": kind to automaton, "plain": character to log-probability in ordinary text}.
 
-    Only the automata are fitted on the bounded sample; scanning covers all text.
+    Both are of all documents. An automaton is fitted on the PER_KIND distinct credentials of its
+    kind that come first by hash; each task sends on no more than these, so no kind is missed.
     """
-    n = docs.count()
-    share = 1 << 30 if n <= sample else (sample << 30) // n
-    some = docs.where(F.pmod(F.xxhash64(id_col), F.lit(1 << 30)) < share).select(F.col(text_col).cast("string"))
+    letters = np.array([chr(c).isalnum() or chr(c) in "+/_.=-" for c in range(128)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: Counter = Counter()
+        found: dict[str, dict[str, int]] = {kind: {} for kind in LEAST}
+        counts = np.zeros(128, np.int64)
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                spans, _ = base_spans(text or "")
-                had: Counter = Counter()
-                for kind, a, b in spans:
-                    had[kind] += 1
-                    if had[kind] <= PER_DOC:
-                        found[kind, text[a:b][:TRAIN_CHARS]] += 1
-                if text:
-                    for c, k in Counter(text).items():
-                        if c.isascii() and (c.isalnum() or c in "+/_.=-"):
-                            found["", c] += k
-        keys = list(found)
-        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array([found[k] for k in keys], pa.int64())], ["kind", "value", "n"])
-
-    rows = some.transform(in_arrow, run, "kind string, value string, n long").groupBy("kind", "value").agg(F.sum("n").alias("n")).collect()
-    words = {kind: sorted((r.value for r in rows if r.kind == kind), key=lambda v: (xxh64_intdigest(v), v))[:PER_KIND] for kind in LEAST}
-    plain = {r.value: r.n for r in rows if r.kind == ""}
+                if not text:
+                    continue
+                for kind, a, b in base_spans(text)[0]:
+                    value = text[a:b][:TRAIN_CHARS]
+                    found[kind][value] = xxh64_intdigest(value) >> 1
+                counts += np.bincount(np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8), minlength=256)[:128]
+            for kind, values in found.items():
+                if len(values) > PER_KIND:
+                    found[kind] = dict(sorted(values.items(), key=lambda v: (v[1], v[0]))[:PER_KIND])
+        rows = [(kind, v, h) for kind, values in found.items() for v, h in values.items()]
+        rows += [("", chr(c), int(counts[c])) for c in np.flatnonzero(letters & (counts > 0))]
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.string(), pa.int64()))], ["kind", "value", "n"])
+
+    some = cut(docs.select(F.col(text_col).cast("string")).transform(in_arrow, run, "kind string, value string, n long"), "credentials")
+    plain = {r.value: r.n for r in some.where("kind = ''").groupBy("value").agg(F.sum("n").alias("n")).collect()}
+    first = lambda kind: some.where(F.col("kind") == kind).select("n", "value").distinct().orderBy("n", "value").limit(PER_KIND)
+    words = {kind: [r.value for r in first(kind).collect()] for kind in LEAST}
+    drop(some)
     total = sum(plain.values()) + 1
     logs = {c: math.log(max(plain.get(c, 0) / total, FLOOR)) for c in map(chr, range(33, 127))}
     return {"machines": {kind: infer(w) for kind, w in words.items() if w}, "plain": logs}

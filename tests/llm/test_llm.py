@@ -355,6 +355,20 @@ def test_every_part_of_a_run_is_scored(spark, docs):
     assert not any(found[i] for i in range(300))
 
 
+def test_rare_kinds_are_learned(spark, monkeypatch):
+    """One credential among very many documents, and a letter that few of them hold."""
+    monkeypatch.setattr(secrets, "PER_KIND", 5)
+    keys = ["AKIA" + c * 16 for c in "ABCDEFGHIJ"]
+    table = spark.range(60_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") == 31_007, "password=rare5token7 Q").otherwise(F.lit("plain words")).alias("text"))
+    table = table.unionAll(spark.createDataFrame([(70_000 + i, k) for i, k in enumerate(keys)], "doc_id long, text string")).repartition(3)
+    model = secrets.learn(table)
+    first = sorted(keys, key=lambda v: (secrets.xxh64_intdigest(v), v))[:5]
+    assert model["machines"]["assign"] == secrets.infer(["rare5token7"]) and model["machines"]["access"] == secrets.infer(first)
+    letters = Counter("plain words" * 59_999 + "password=rare5token7 Q" + "".join(keys))
+    total = sum(n for c, n in letters.items() if c != " ") + 1
+    assert model["plain"]["a"] == pytest.approx(np.log(letters["a"] / total))
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(st.sampled_from("passwordtokenAKIAQ09af=: '\"-é"), max_size=120))
 def test_parts_cover_runs(text):
