@@ -1,21 +1,29 @@
 """Secret scans with inferred grammars.
 
-Three fixed patterns give the base spans (of an assignment, the span of its value). Their distinct matches in all documents are the
-labelled credentials: for each kind a prefix tree of a bounded sample of them is folded by merging states whose
-outgoing and final frequencies are statistically compatible (Hoeffding bounds), which leaves a
-probabilistic automaton. What base spans and the labels of assignments leave of every run of 8 or
-more credential characters is then scored by its likelihood under the automata against that of
-ordinary text; parts over the threshold are added as kind ``format``. Base spans always stay.
+Three fixed patterns give the base spans (of an assignment, the span of its value). Labelled
+credentials are their distinct matches in all documents and examples of published token formats.
+For each kind a prefix tree of a bounded sample of them is folded into a probabilistic automaton:
+a state is merged with the one that explains it best where that is likelier than a state of its own.
+Compared are the next characters and the lengths of what is still to come (Bayes factors of
+Dirichlet-multinomial counts, which hold for few observations, too), so states of a format of fixed
+length follow one another and those of a free length become loops. What base spans and the labels
+of assignments leave of every run of 8 or more credential characters is then scored by its
+likelihood under the automata against that of ordinary text, a chain of letter pairs counted in all
+documents (but not in long mixtures of letters and digits); parts over the threshold are added as kind ``format``. Base spans always stay.
 
 Defined cases: a null text is empty; offsets are code points, end exclusive; parts of
-under 8 characters add nothing; without labelled credentials only base spans are found; rows that repeat
-give repeated rows; null ids are kept; an empty table gives no rows.
+under 8 characters add nothing; credentials of over ``LONGEST`` characters teach nothing, but are
+spans like others; rows that repeat give repeated rows; null ids are kept; an empty table gives no
+rows. Only the text is read, further columns pass through.
 """
 
 from __future__ import annotations
 
 import math
+import random
 import re
+import string
+from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -35,9 +43,34 @@ ACCESS = re.compile("AKIA[A-Z0-9]+")
 HEX = re.compile("[0-9a-f]+")
 RUN = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{8,}+")
 LEAST = {"assign": 8, "access": 16, "hex": 32}
-PER_KIND, TRAIN_CHARS = 300, 64  # credentials of a kind, characters of each
+LONG_PIECE = re.compile(r"[A-Za-z0-9]{8,}")
+WORDY = re.compile(r"(?:[A-Z]?[a-z]{2,}|[A-Z]{2,}|[0-9]{2,})+")  # words, capitals, numbers, and several in a row
+PER_KIND, LONGEST = 300, 256  # credentials of a kind that an automaton is fitted on, and their length at most
 SEEN_WORDS = 1 << 16  # words whose verdict a task remembers
-ALPHA, THRESHOLD, FLOOR = 0.05, 1.0, 1e-4
+STATE_COST = 3.0  # in nats: a merge that either count speaks against by more gives a state of its own
+ODDS = 12.0  # in nats: how much likelier a credential must be than ordinary text
+LETTERS = 95  # printable characters and the end
+SEPARATORS = "=/."
+
+_ALNUM = string.ascii_letters + string.digits
+_URL = _ALNUM + "-_"
+# Published token formats, as literal text and (alphabet, length).
+FORMATS = {
+    "github": ("ghp_", (_ALNUM, 36)),
+    "gitlab": ("glpat-", (_URL, 20)),
+    "slack": ("xoxb-", (string.digits, 12), "-", (string.digits, 12), "-", (_ALNUM, 24)),
+    "google": ("AIza", (_URL, 35)),
+    "stripe": ("sk_live_", (_ALNUM, 24)),
+    "npm": ("npm_", (_ALNUM, 36)),
+    "sendgrid": ("SG.", (_URL, 22), ".", (_URL, 43)),
+}
+
+
+def examples(formats: dict[str, tuple] = FORMATS, n: int = 100, seed: int = 1) -> dict[str, list[str]]:
+    """Labelled credentials of published formats, the same in every run."""
+    rng = random.Random(seed)
+    draw = lambda part: part if isinstance(part, str) else "".join(rng.choices(part[0], k=part[1]))
+    return {kind: ["".join(map(draw, parts)) for _ in range(n)] for kind, parts in formats.items()}
 
 
 def base_spans(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[int, int]]]:
@@ -77,144 +110,207 @@ def outside(runs: list[tuple[int, int]], used: list[tuple[int, int]]) -> list[tu
     return parts
 
 
-def infer(words: list[str], alpha: float = ALPHA) -> list[dict]:
-    """A probabilistic automaton: for each state the log-probability of ending (key "") and, for
-    each character, the next state and its log-probability."""
-    seen, ends, kids = [0], [0], [{}]
+def ordinary(text: str, spans: list[tuple[str, int, int]], parts: list[tuple[int, int]]) -> str:
+    """The text without its base spans and without runs that hold a long piece in which letters and
+    digits, or small and capital letters, are mixed: so no credential counts as ordinary text."""
+    gone = [(a, b) for _, a, b in spans] + [(a, b) for a, b in parts if not all(WORDY.fullmatch(x) for x in LONG_PIECE.findall(text, a, b))]
+    if not gone:
+        return text
+    kept, at = [], 0
+    for a, b in sorted(gone):
+        kept.append(text[at : max(a, at)])
+        at = max(at, b)
+    return "\n".join([*kept, text[at:]])
+
+
+def infer(words: list[str]) -> list[dict]:
+    """A probabilistic automaton: for each state the log-probability of ending (key ""), for
+    each character the next state and its log-probability, and for all others (key None)."""
+    kids: list[dict[str, int]] = [{}]
+    took, left = [Counter()], [Counter()]  # of each state: next characters, lengths to come
     for word in words:
         at = 0
-        seen[0] += 1
-        for c in word[:TRAIN_CHARS]:
+        left[0][len(word)] += 1
+        for i, c in enumerate(word, 1):
+            took[at][c] += 1
             if c not in kids[at]:
-                kids[at][c] = len(seen)
-                seen.append(0)
-                ends.append(0)
+                kids[at][c] = len(kids)
                 kids.append({})
+                took.append(Counter())
+                left.append(Counter())
             at = kids[at][c]
-            seen[at] += 1
-        ends[at] += 1
-    took = {(s, c): seen[t] for s, d in enumerate(kids) for c, t in d.items()}
-    width = math.sqrt(0.5 * math.log(2 / alpha))
-
-    def differ(f1: int, n1: int, f2: int, n2: int) -> bool:
-        return abs(f1 / n1 - f2 / n2) > (1 / math.sqrt(n1) + 1 / math.sqrt(n2)) * width
-
-    def compatible(a: int, b: int) -> bool:
-        todo = [(a, b)]
-        while todo:
-            a, b = todo.pop()
-            if differ(ends[a], seen[a], ends[b], seen[b]):
-                return False
-            for c in kids[a].keys() | kids[b].keys():
-                if differ(took.get((a, c), 0), seen[a], took.get((b, c), 0), seen[b]):
-                    return False
-                if c in kids[a] and c in kids[b]:
-                    todo.append((kids[a][c], kids[b][c]))
-        return True
+            left[at][len(word) - i] += 1
+        took[at][""] += 1
+
+    def gain(a: Counter, b: Counter, kinds: int, prior: float) -> float:
+        """Log Bayes factor of one source for both counts against a source for each; before any
+        observation each of ``kinds`` counts ``prior / kinds``."""
+        n, m, p = a.total(), b.total(), prior / kinds
+        out = math.lgamma(n + prior) + math.lgamma(m + prior) - math.lgamma(n + m + prior) - math.lgamma(prior)
+        for x, k in b.items():
+            out += math.lgamma(a[x] + k + p) - math.lgamma(a[x] + p) - math.lgamma(k + p) + math.lgamma(p)
+        return out
 
     def fold(a: int, b: int) -> None:
         """Adds the tree under b to a."""
         todo = [(a, b)]
         while todo:
             a, b = todo.pop()
-            seen[a] += seen[b]
-            ends[a] += ends[b]
+            took[a].update(took[b])
+            left[a].update(left[b])
             for c, t in kids[b].items():
-                took[a, c] = took.get((a, c), 0) + took[b, c]
                 if c in kids[a]:
                     todo.append((kids[a][c], t))
                 else:
                     kids[a][c] = t
 
-    red, blue = [0], [(0, c) for c in sorted(kids[0])]
-    while blue:
-        parent, c = blue.pop(0)
-        state = kids[parent][c]
-        if state in red:
-            continue
-        for r in red:
-            if compatible(r, state):
-                kids[parent][c] = r
-                fold(r, state)
-                break
+    red, known = [0], {0}
+    while blue := [(-left[kids[r][c]].total(), k, c) for k, r in enumerate(red) for c in kids[r] if kids[r][c] not in known]:
+        _, k, c = min(blue)
+        state = kids[red[k]][c]
+        pairs = [(gain(took[r], took[state], LETTERS, LETTERS), gain(left[r], left[state], len(left[r].keys() | left[state].keys()), 1.0)) for r in red]
+        best = max(range(len(red)), key=lambda i: (min(pairs[i]) > -STATE_COST, sum(pairs[i]), -i))
+        if min(pairs[best]) > -STATE_COST:
+            kids[red[k]][c] = red[best]
+            fold(red[best], state)
         else:
             red.append(state)
-        blue = [(r, c) for r in red for c in sorted(kids[r]) if kids[r][c] not in red]
-    number = {s: i for i, s in enumerate(red)}
-    log = lambda f, n: math.log(max(f / max(n, 1), FLOOR))
-    return [{"": (i, log(ends[s], seen[s]))} | {c: (number[t], log(took[s, c], seen[s])) for c, t in kids[s].items()} for i, s in enumerate(red)]
-
+            known.add(state)
 
-def likelihood(machine: list[dict], word: str) -> float:
-    """Log-likelihood of a word; a character that the automaton has not at a state costs FLOOR."""
+    number = {s: i for i, s in enumerate(red)}
+    letters = sum((Counter({c: n for c, n in took[s].items() if c}) for s in red), Counter())
+    rare = math.log(1 / (letters.total() + LETTERS))
+    machine = []
+    for s in red:
+        n, t = took[s].total(), len(took[s])
+        other = math.log(t / (n + t)) if n else 0.0  # what a character costs that was not seen here
+        usual = max(kids[s], key=lambda c: (took[s][c], c), default=None)
+        end = math.log(took[s][""] / (n + t)) if took[s][""] else other + rare
+        row = {c: (number[kids[s][c]], math.log(took[s][c] / (n + t))) for c in kids[s]}
+        machine.append({"": (number[s], end), None: (number[s] if usual is None else row[usual][0], other + rare)} | row)
+    return machine
+
+
+def likelihood(machine: list[dict], word: str, least: float = -math.inf) -> float:
+    """Log-likelihood of a word; minus infinity as soon as it is under ``least``."""
     at, total = 0, 0.0
     for c in word:
-        at, p = machine[at].get(c) or (at, math.log(FLOOR))
+        row = machine[at]
+        at, p = row.get(c) or row[None]
         total += p
+        if total < least:
+            return -math.inf
     return total + machine[at][""][1]
 
 
-def learn(docs: DataFrame, text_col: str = "text") -> dict:
-    """{"machines": kind to automaton, "plain": character to log-probability in ordinary text}.
+BORDER = 0
+_CANDIDATE = np.array([c < 128 and (chr(c).isalnum() or chr(c) in "+/_.=-") for c in range(256)])
+_SYMBOL = np.where(_CANDIDATE, np.arange(256), BORDER)
+
 
-    Both are of all documents. An automaton is fitted on the PER_KIND distinct credentials of its
-    kind that come first by hash; each task sends on no more than these, so no kind is missed.
+def pair_counts(data: bytes) -> np.ndarray:
+    """How often each character follows each other one; all that is no credential character is
+    the border, and texts begin and end with one."""
+    x = _SYMBOL[np.frombuffer(b" " + data + b" ", np.uint8)]
+    return np.bincount(x[:-1] * 128 + x[1:], minlength=128 * 128)
+
+
+def pair_logs(counts: np.ndarray) -> np.ndarray:
+    """Log-probabilities of the next character, backed off to the share of the character."""
+    counts = counts.reshape(128, 128).astype(np.float64)
+    counts[BORDER, BORDER] = 0
+    share = (counts.sum(axis=0) + 1) / (counts.sum() + 128)
+    kinds = np.maximum((counts > 0).sum(axis=1), 1)[:, None]
+    return np.log((counts + kinds * share) / (counts.sum(axis=1, keepdims=True) + kinds))
+
+
+def learn(docs: DataFrame, text_col: str = "text", known: dict[str, list[str]] | None = None) -> dict:
+    """{"machines": kind to automaton, "plain": log-probabilities of pairs in ordinary text}.
+
+    ``known``: labelled credentials beside those of the documents (default: ``examples()``).
+    Base spans and letter pairs are of all documents. An automaton is fitted on the PER_KIND
+    distinct credentials of its kind that come first by hash; each task sends on no more than
+    these, so no kind is missed, and what the driver gets is bounded.
     """
-    letters = np.array([chr(c).isalnum() or chr(c) in "+/_.=-" for c in range(128)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[str, dict[str, int]] = {kind: {} for kind in LEAST}
-        counts = np.zeros(128, np.int64)
+        counts = np.zeros(128 * 128, np.int64)
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 if not text:
                     continue
-                for kind, a, b in base_spans(text)[0]:
-                    value = text[a:b][:TRAIN_CHARS]
-                    found[kind][value] = xxh64_intdigest(value) >> 1
-                counts += np.bincount(np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8), minlength=256)[:128]
+                spans, parts = base_spans(text)
+                for kind, a, b in spans:
+                    if b - a <= LONGEST:
+                        value = text[a:b]
+                        found[kind][value] = xxh64_intdigest(value) >> 1
+                counts += pair_counts(ordinary(text, spans, parts).encode("utf-8", "surrogatepass"))
             for kind, values in found.items():
                 if len(values) > PER_KIND:
                     found[kind] = dict(sorted(values.items(), key=lambda v: (v[1], v[0]))[:PER_KIND])
         rows = [(kind, v, h) for kind, values in found.items() for v, h in values.items()]
-        rows += [("", chr(c), int(counts[c])) for c in np.flatnonzero(letters & (counts > 0))]
+        rows += [("", str(c), int(counts[c])) for c in np.flatnonzero(counts)]
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.string(), pa.int64()))], ["kind", "value", "n"])
 
     some = cut(docs.select(F.col(text_col).cast("string")).transform(in_arrow, run, "kind string, value string, n long"), "credentials")
-    plain = {r.value: r.n for r in some.where("kind = ''").groupBy("value").agg(F.sum("n").alias("n")).collect()}
+    counts = np.zeros(128 * 128, np.int64)
+    for r in some.where("kind = ''").groupBy("value").agg(F.sum("n").alias("n")).collect():
+        counts[int(r.value)] = r.n
     first = lambda kind: some.where(F.col("kind") == kind).select("n", "value").distinct().orderBy("n", "value").limit(PER_KIND)
     words = {kind: [r.value for r in first(kind).collect()] for kind in LEAST}
     drop(some)
-    total = sum(plain.values()) + 1
-    logs = {c: math.log(max(plain.get(c, 0) / total, FLOOR)) for c in map(chr, range(33, 127))}
-    return {"machines": {kind: infer(w) for kind, w in words.items() if w}, "plain": logs}
+    machines = {kind: infer(w) for kind, w in words.items() if w}
+    machines |= _known_machines() if known is None else {kind: infer(w) for kind, w in known.items()}
+    return {"machines": machines, "plain": pair_logs(counts)}
 
 
-def plain_likelihood(plain: dict[str, float], word: str) -> float:
+@lru_cache(1)
+def _known_machines() -> dict[str, list[dict]]:
+    return {kind: infer(words) for kind, words in examples().items()}
+
+
+def plain_likelihood(plain: np.ndarray, word: str) -> float:
     """Log-likelihood of a word as ordinary text; words in capitals and numbers, also dates and
     the like, are ordinary text too."""
-    best = sum(plain[c] for c in word)
-    if word.isupper():
-        best = max(best, sum(plain[c] for c in word.lower()))
+    forms = {word, word.lower()} if word.isupper() else {word}
+    best = -math.inf
+    for form in forms:
+        x = np.frombuffer(f" {form} ".encode(), np.uint8)
+        x = _SYMBOL[x]
+        best = max(best, float(plain[x[:-1], x[1:]].sum()))
     if not any(c.isalpha() for c in word):
         best = max(best, -len(word) * math.log(10))
     return best
 
 
 def is_format(word: str, model: dict) -> bool:
-    """Whether the likelihood ratio for each character is over THRESHOLD."""
-    best = max((likelihood(m, word) for m in model["machines"].values()), default=-math.inf)
-    return (best - plain_likelihood(model["plain"], word)) / len(word) > THRESHOLD
+    """Whether the logarithm of the likelihood ratio is over ODDS."""
+    least = plain_likelihood(model["plain"], word) + ODDS
+    return any(likelihood(m, word, least) > least for m in model["machines"].values())
 
 
 def added_spans(text: str, parts: list[tuple[int, int]], judge: Callable[[str], bool]) -> list[tuple[str, int, int]]:
-    """The parts that ``judge`` takes for credentials, without punctuation at their ends."""
-    out = []
-    for a, b in parts:
+    """The parts that ``judge`` takes for credentials, without punctuation at their ends; of a part
+    that it does not, the pieces between separators are judged."""
+    out, todo = [], [(a, b, 0) for a, b in reversed(parts)]
+    while todo:
+        a, b, level = todo.pop()
         word = text[a:b].strip(".=-")
-        if len(word) >= LEAST["assign"] and judge(word):
-            start = text.index(word, a)
+        if len(word) < LEAST["assign"]:
+            continue
+        start = text.index(word, a)
+        if judge(word):
             out.append(("format", start, start + len(word)))
+            continue
+        for k in range(level, len(SEPARATORS)):
+            if SEPARATORS[k] in word:
+                edges, at = [], start
+                for piece in word.split(SEPARATORS[k]):
+                    edges.append((at, at + len(piece), k + 1))
+                    at += len(piece) + 1
+                todo += reversed(edges)
+                break
     return out
 
 

@@ -62,7 +62,7 @@ def test_pipeline_by_hand(spark, tmp_path):
     for r in third:
         spans, _ = secrets.base_spans(r.text)
         assert r.n_chars == len(r.text) and not spans
-    assert sorted(str(r.doc_id) for r in third) == sorted(map(str, ids)) and model["plain"]
+    assert sorted(str(r.doc_id) for r in third) == sorted(map(str, ids)) and len(model["plain"])
 
     stage3 = spark.createDataFrame(third, docs.select(*corpus_pipeline.COLUMNS).schema)
     mixed = mixing.mix(stage3, spark.read.parquet(f"{folder}/labels.parquet")).withColumn("k", mixing.copies()).collect()
