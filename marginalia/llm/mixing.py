@@ -1,24 +1,34 @@
 """Mixing to target weights with soft membership.
 
-A softmax classifier, learned from the labels table, gives each document a posterior over domains.
-A document's tokens count for the domains in these shares. Rates r >= 0 for documents minimise the
-squared differences of the expected domain token totals sum(r * tokens * p) from their targets by
-projected gradient steps that start at r = 1. A step needs sums over all documents only (totals and
-the Gram matrix that sets the step); rates are replayed from the few step vectors, so nothing is
-stored for each document but its tokens and posterior. Toxic text is never multiplied: its target is
-at most what it holds, and documents whose likeliest domain it is have rates of 1 at most.
+A softmax classifier, learned from the labels table and calibrated on labelled documents that it was
+not fitted on, gives each document a posterior over domains. A document's tokens count for the
+domains in these shares. With t tokens, posterior p and M tokens in all, the rates r >= 0 minimise
 
-Domains: ``toxic`` (toxic = 1), ``low`` (quality = 0) and ``clean`` (the rest). Tokens are words.
+    |sum(r t p) - target|**2 / (2 M**2)  +  RIDGE * sum(t (r - 1)**2) / (2 M)
+
+a least-squares fit of the domain totals that stays near one copy of everything where the targets
+leave a choice, or where they are out of reach (no document is emptied for a gain that it cannot
+bring). It is found by lazily projected gradient steps: steps on p add up to one vector ``pull``, and
+rates are the projection of 1 - p . pull onto what is allowed. A step needs sums over all documents
+only (totals, the Gram matrix that scales it, and the objective, on which a step that does not help
+is halved); nothing is kept for each document but tokens and posterior. Steps go on until they are
+under TOLERANCE; ``Fit`` tells what was reached and whether each target is met.
+
+Domains: ``toxic`` (toxic = 1), ``low`` (quality = 0) and ``clean`` (the rest). Text of the CAPPED
+domains is never multiplied: their targets are at most what they hold, and documents whose likeliest
+domain is one of them have rates of 1 at most. Tokens are words.
 
 Defined cases: a null or empty text has no tokens and the prior's posterior; labels that disagree
 for a document count as toxic, then low; null labels count as clean; without labels all is one
-domain at rate 1; rows that repeat are documents of their own; null ids are kept; an empty table
-gives no rows; further columns pass through.
+domain at rate 1; rows that repeat are documents of their own, and share a draw when rates are made
+whole numbers; null ids are kept and draw by their text; an empty table gives no rows; further
+columns pass through, those named like results are replaced.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -31,11 +41,13 @@ from .words import LOWER, SPACE, Chunk, chunks, word_bounds, word_hashes
 
 DOMAINS = ("clean", "low", "toxic")
 WEIGHTS = {"clean": 0.905, "low": 0.085, "toxic": 0.01}
+CAPPED = ("low", "toxic")
 SAMPLE = 20_000  # labelled documents that the classifier is fitted on, about
 FEATURES = 1 << 20
-STEPS, TOLERANCE = 25, 1e-4
-SLACK = 0.15
-CAPPED = DOMAINS.index("toxic")  # never taken more than once
+TELLING = 4096  # features that the classifier weighs, at most
+ROUNDS = 12
+RIDGE, TOLERANCE = 2e-3, 1e-7
+MET = 0.01  # a target counts as met if it is missed by no more than this share of all tokens
 ALNUM = np.array([c > 127 or chr(c).isalnum() for c in range(256)])
 CORE = np.where(ALNUM, LOWER, np.uint64(0))
 KIND = np.array([97 if c > 127 or chr(c).islower() else 65 if chr(c).isupper() else 48 if chr(c).isdigit() else 32 if SPACE[c] else c for c in range(256)], np.uint8)
@@ -57,47 +69,48 @@ def feature_sets(chunk: Chunk) -> Iterator[np.ndarray]:
         yield np.unique(np.concatenate([core[a:b], shape[a:b]])).astype(np.int32)
 
 
-def telling(rows: list[np.ndarray], labels: np.ndarray, classes: int, least: float = 4.0) -> np.ndarray:
-    """Features whose count in some class is over ``least`` deviations from their overall share."""
-    counts = np.zeros((FEATURES, classes))
-    for c in range(classes):
-        own = [f for f, k in zip(rows, labels) if k == c]
-        if own:
-            counts[:, c] = np.bincount(np.concatenate(own), minlength=FEATURES)
-    size = np.bincount(labels, minlength=classes)
-    base = counts.sum(axis=1, keepdims=True) / size.sum()
-    z = (counts - size * base) / np.sqrt(size * base * (1 - np.minimum(base, 0.999)) + 0.5)
-    return np.abs(z).max(axis=1) > least
-
-
-def fit_classifier(rows: list[np.ndarray], labels: np.ndarray, classes: int, rounds: int = 20) -> tuple[np.ndarray, np.ndarray]:
-    """Softmax regression on the telling features by adaptive gradient steps: those features and
-    their weights, the bias last. Documents with equal features count once."""
-    first = {(f.tobytes(), int(k)): i for i, (f, k) in reversed(list(enumerate(zip(rows, labels))))}
-    kept = sorted(first.values())
-    rows, labels = [rows[i] for i in kept], labels[kept]
-    use = telling(rows, labels, classes)
-    rows = [f[use[f]] for f in rows]
-    weights = np.zeros((FEATURES + 1, classes))
-    weights[-1] = np.log((np.bincount(labels, minlength=classes) + 1) / (len(labels) + classes))
-    scale = np.full((FEATURES + 1, classes), 1e-3)
+def fit_classifier(rows: np.ndarray, labels: np.ndarray, classes: int, rounds: int = ROUNDS) -> np.ndarray:
+    """Weights of softmax regression by adaptive gradient steps, the bias last; ``rows`` are packed
+    bits, one for each feature. Every fifth row is left out of the fit and calibrates it."""
+    hold = np.arange(len(rows)) % 5 == 4
+    bits = lambda some: np.unpackbits(rows[some], axis=1).astype(np.float64)
+    fit = np.flatnonzero(~hold)
+    width = 8 * rows.shape[1]
+    weights = np.zeros((width + 1, classes))
+    weights[-1] = np.log((np.bincount(labels[fit], minlength=classes) + 1) / (len(fit) + classes))
+    scale = np.full((width + 1, classes), 1e-3)
     rng = np.random.default_rng(7)
     for _ in range(rounds):
-        order = rng.permutation(len(rows))
+        order = rng.permutation(fit)
         for at in range(0, len(order), 64):
             some = order[at : at + 64]
-            flat = np.concatenate([np.append(rows[i], FEATURES) for i in some])
-            who = np.repeat(np.arange(len(some)), [len(rows[i]) + 1 for i in some])
-            z = np.zeros((len(some), classes))
-            np.add.at(z, who, weights[flat])
-            p = _softmax(z)
+            x = bits(some)
+            p = _softmax(x @ weights[:-1] + weights[-1])
             p[np.arange(len(some)), labels[some]] -= 1
-            seen, place = np.unique(flat, return_inverse=True)
-            grad = np.stack([np.bincount(place, p[who, c], len(seen)) for c in range(classes)], axis=1) / 64
-            scale[seen] += grad * grad
-            weights[seen] -= 0.1 * grad / np.sqrt(scale[seen])
-    used = np.flatnonzero(use)
-    return used, weights[np.append(used, FEATURES)]
+            grad = np.concatenate([x.T @ p, p.sum(axis=0, keepdims=True)]) / 64
+            scale += grad * grad
+            weights -= 0.1 * grad / np.sqrt(scale)
+    held = np.flatnonzero(hold)
+    logits = [bits(held[at : at + 1024]) @ weights[:-1] + weights[-1] for at in range(0, len(held), 1024)]
+    factor, shift = calibrate(np.concatenate(logits) if logits else np.zeros((0, classes)), labels[held])
+    weights *= factor
+    weights[-1] += shift
+    return weights
+
+
+def calibrate(logits: np.ndarray, labels: np.ndarray, steps: int = 400) -> tuple[float, np.ndarray]:
+    """Factor and shift of logits under which the labels are likeliest; a prior holds them near 1
+    and 0 where there are few."""
+    classes = logits.shape[1]
+    log_factor, shift = 0.0, np.zeros(classes)
+    hit = np.eye(classes)[labels] if len(labels) else np.zeros((0, classes))
+    rate = 1.0 / (len(labels) + 5.0)
+    size = rate * 2 / (1 + np.abs(logits).max(initial=1.0))
+    for _ in range(steps):
+        gap = _softmax(np.exp(log_factor) * logits + shift) - hit
+        log_factor -= size * float((gap * logits).sum() * np.exp(log_factor) + 5 * log_factor)
+        shift -= rate * (gap.sum(axis=0) + shift)
+    return float(np.exp(log_factor)), shift
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
@@ -105,26 +118,66 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
+def telling(found: DataFrame, sizes: np.ndarray, most: int = TELLING, least: float = 4.0) -> np.ndarray:
+    """Of (domain, features) the features whose count in some class is over ``least`` deviations
+    from their overall share, sorted; the ``most`` that differ most where there are more."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros((len(DOMAINS), FEATURES), np.int32)
+        for batch in batches:
+            for domain, features in zip(batch.column(0).to_pylist(), batch.column(1)):
+                counts[domain, np.frombuffer(features.as_buffer(), np.int32)] += 1
+        some = np.flatnonzero(counts.any(axis=0))
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), *[pa.array(c[some].astype(np.int64)) for c in counts]], ["feature", *[f"n{i}" for i in range(len(DOMAINS))]])
+
+    names = [f"n{i}" for i in range(len(DOMAINS))]
+    counted = found.transform(in_arrow, run, "feature int, " + ", ".join(f"{n} long" for n in names)).groupBy("feature").agg(*[F.sum(n).alias(n) for n in names])
+    base = sum((F.col(n) for n in names), F.lit(0)) / F.lit(float(sizes.sum()))
+    z = [F.abs((F.col(n) - k * base) / F.sqrt(k * base * (1 - F.least(base, F.lit(0.999))) + 0.5)) for n, k in zip(names, map(float, sizes))]
+    top = counted.select("feature", F.round(F.greatest(*z), 6).alias("z")).where(F.col("z") > least).orderBy(F.desc("z"), "feature").limit(most)
+    return np.sort(np.array([r.feature for r in top.collect()], np.int64))
+
+
 def learn_domains(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray] | None:
-    """The classifier, None without labelled documents. The labelled ids that take part
-    are chosen by hash, about ``sample`` of them: a proven bound for what is broadcast."""
+    """The classifier (features, weights with the bias last), None without labelled documents.
+
+    About ``sample`` labelled ids are chosen by hash, which bounds what is broadcast; where ids
+    repeat, rows are thinned by hash to about twice that. Documents with equal features count
+    once. The driver gets TELLING bits for each document.
+    """
     domain = F.when(F.max("toxic") == 1, 2).when(F.min("quality") == 0, 1).otherwise(0)
     known = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(domain.alias("domain"))
-    n = known.count()
-    share = 1 << 30 if n <= sample else (sample << 30) // n
-    known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share).select(F.col("doc_id").alias(id_col), "domain")
+    share = lambda n, most: 1 << 30 if n <= most else (most << 30) // n
+    draw = lambda *c: F.pmod(F.xxhash64(*c), F.lit(1 << 30))
+    known = known.where(draw("doc_id") < share(known.count(), sample)).select(F.col("doc_id").alias(id_col), "domain")
     picked = docs.select(id_col, F.col(text_col).cast("string").cast("binary").alias("text")).join(F.broadcast(known), id_col)
+    picked = picked.where(draw(F.lit(3), id_col, "text") < share(picked.count(), 2 * sample))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [f.tobytes() for chunk in chunks(iter([batch]), CORE) for f in feature_sets(chunk)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(found, pa.binary())], ["id", "domain", "features"])
-
-    got = picked.transform(in_arrow, run, "id long, domain int, features binary").collect()
-    if not got:
+            yield pa.RecordBatch.from_arrays([batch.column(2), pa.array(found, pa.binary())], ["domain", "features"])
+
+    found = picked.transform(in_arrow, run, "domain int, features binary").withColumn("key", F.sha2("features", 256))
+    found = cut(found.dropDuplicates(["domain", "key"]), "features")
+    sizes = np.zeros(len(DOMAINS))
+    for r in found.groupBy("domain").count().collect():
+        sizes[r.domain] = r["count"]
+    if not sizes.sum():
+        drop(found)
         return None
-    got.sort(key=lambda r: (r.id, bytes(r.features)))
-    return fit_classifier([np.frombuffer(r.features, np.int32) for r in got], np.array([r.domain for r in got]), len(DOMAINS))
+    used = telling(found.select("domain", "features"), sizes)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits = [np.packbits(np.isin(used, np.frombuffer(f.as_buffer(), np.int32))).tobytes() for f in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits, pa.binary()), batch.column(2)], ["domain", "bits", "key"])
+
+    got = found.select("domain", "features", "key").transform(in_arrow, pack, "domain int, bits binary, key string").toArrow().sort_by([("key", "ascending"), ("domain", "ascending")])
+    drop(found)
+    rows = np.frombuffer(b"".join(got["bits"].to_pylist()), np.uint8).reshape(got.num_rows, -1)
+    weights = fit_classifier(rows, got["domain"].to_numpy().astype(np.int64), len(DOMAINS))
+    return used, np.concatenate([weights[: len(used)], weights[-1:]])
 
 
 def posteriors(docs: DataFrame, model: tuple[np.ndarray, np.ndarray] | None, text_col: str = "text") -> DataFrame:
@@ -157,68 +210,125 @@ def posteriors(docs: DataFrame, model: tuple[np.ndarray, np.ndarray] | None, tex
     return docs.transform(in_arrow, run, schema)
 
 
-def rate(steps: list[np.ndarray]) -> Column:
-    """The rate after the given steps: each takes p . step away and projects onto r >= 0, and onto
-    r <= 1 where the capped domain is the likeliest."""
-    r = F.lit(1.0)
-    most = F.when(F.col("p")[CAPPED] >= F.array_max("p"), F.lit(1.0)).otherwise(F.lit(float("inf")))
-    for step in steps:
-        move = sum((F.col("p")[k] * F.lit(float(s)) for k, s in enumerate(step)), F.lit(0.0))
-        r = F.least(most, F.greatest(F.lit(0.0), r - move))
-    return F.round(r, 6)
+def _room(capped: tuple[str, ...]) -> Column:
+    """The highest rate that a document may have."""
+    hot = F.lit(False)
+    for d in capped:
+        hot = hot | (F.col("p")[DOMAINS.index(d)] >= F.array_max("p"))
+    return F.when(hot, F.lit(1.0)).otherwise(F.lit(float("inf")))
+
+
+def _along(pull: np.ndarray) -> Column:
+    return sum((F.col("p")[k] * F.lit(float(x)) for k, x in enumerate(pull)), F.lit(0.0))
+
+
+def rate(pull: np.ndarray, capped: tuple[str, ...] = CAPPED) -> Column:
+    """1 - p . pull, projected onto what is allowed."""
+    return F.round(F.least(_room(capped), F.greatest(F.lit(0.0), 1 - _along(pull))), 6)
+
+
+@dataclass(frozen=True)
+class Fit:
+    """What ``solve`` found; vectors are by DOMAINS, in tokens."""
 
+    pull: np.ndarray
+    target: np.ndarray
+    reached: np.ndarray
+    total: float
 
-def solve(scored: DataFrame, weights: dict[str, float]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """Step vectors, targets and reached totals for a table with n_tokens and p.
+    @property
+    def gap(self) -> np.ndarray:
+        """By how much of all tokens each target is missed."""
+        return (self.reached - self.target) / max(self.total, 1.0)
 
-    The total is the one at which the domain of the largest weight keeps what it holds. A domain
-    that holds under a hundredth of its target is as good as absent and keeps what it holds, too;
-    the capped domain's target is at most what it holds.
+    @property
+    def met(self) -> np.ndarray:
+        """False where a target is out of reach."""
+        return np.abs(self.gap) <= MET
+
+
+def solve(scored: DataFrame, weights: dict[str, float], capped: tuple[str, ...] = CAPPED, ridge: float = RIDGE) -> Fit:
+    """The rates of a table with n_tokens and p, as a Fit.
+
+    Targets are in proportion to the weights; the domain of the largest weight keeps what it holds,
+    and targets of capped domains are at most what those hold.
     """
     k = len(DOMAINS)
     want = np.array([weights.get(d, 0.0) for d in DOMAINS])
     p = [F.col("p")[i] for i in range(k)]
-
-    def sums(steps: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        table = scored.select("n_tokens", "p", rate(steps).alias("r"))
-        t = F.col("n_tokens").cast("double")
-        totals = [F.sum(t * F.col("r") * p[i]) for i in range(k)]
-        gram = [F.sum(F.when(F.col("r") > 0, t * p[i] * p[j]).otherwise(0.0)) for i in range(k) for j in range(i, k)]
-        row = [x or 0.0 for x in table.agg(*[c.alias(f"c{i}") for i, c in enumerate(totals + gram)]).first()]
-        g = np.zeros((k, k))
-        g[np.triu_indices(k)] = row[k:]
-        return np.array(row[:k]), g + g.T - np.diag(np.diag(g))
-
-    steps: list[np.ndarray] = []
-    reached, gram = sums(steps)
+    light = scored.select(F.col("n_tokens").cast("double").alias("t"), "p", _room(capped).alias("room"))
+
+    def sums(pull: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+        """Domain totals, the Gram matrix of documents whose rates may move, and the sum of the
+        integrals of rates over p . pull."""
+        at = light.withColumn("s", _along(pull)).withColumn("free", 1 - F.col("s"))
+        moves = (F.col("free") > 0) & (F.col("free") < F.col("room"))
+        r = F.least("room", F.greatest(F.lit(0.0), F.col("free")))
+        low = F.col("s") - F.col("s") * F.col("s") / 2
+        edge = 1 - F.col("room")
+        area = F.when(F.col("free") <= 0, F.lit(0.5)).when(moves, low).otherwise(F.col("room") * F.col("s") + edge * edge / 2)
+        parts = [F.sum(F.col("t") * r * x) for x in p]
+        parts += [F.sum(F.when(moves, F.col("t") * p[i] * p[j]).otherwise(0.0)) for i in range(k) for j in range(i, k)]
+        row = [x or 0.0 for x in at.agg(*[c.alias(f"c{i}") for i, c in enumerate([*parts, F.sum(F.col("t") * area)])]).first()]
+        gram = np.zeros((k, k))
+        gram[np.triu_indices(k)] = row[k:-1]
+        return np.array(row[:k]), gram + gram.T - np.diag(np.diag(gram)), row[-1]
+
+    pull = np.zeros(k)
+    reached, gram, area = sums(pull)
+    total = float(reached.sum())
     target = want * (reached[want.argmax()] / want.max() if want.max() > 0 else 0.0)
-    target = np.where(reached < 0.01 * target, reached, target)
-    target[CAPPED] = min(target[CAPPED], reached[CAPPED])
-    while len(steps) < STEPS and reached.sum() and np.abs(reached - target).max() > TOLERANCE * target.sum():
-        ridge = 1e-3 * np.trace(gram) / k + 1e-9
-        steps.append(np.round(np.linalg.solve(gram + ridge * np.eye(k), reached - target), 9))
-        reached, gram = sums(steps)
-    return steps, target, reached
-
-
-def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float] | None = None, text_col: str = "text") -> DataFrame:
-    """``docs`` with n_tokens, p and rate. Texts are scored once for the sums, of which only tokens
-    and posteriors are stored, and once more for the result."""
+    for d in capped:
+        target[DOMAINS.index(d)] = min(target[DOMAINS.index(d)], reached[DOMAINS.index(d)])
+    if not total:
+        return Fit(pull, target, reached, total)
+    unit = 1 / (ridge * total)
+    value = lambda pull, area: pull @ pull / 2 + unit * (target @ pull - area)
+    while True:
+        slope = pull - unit * (reached - target)
+        step = -np.linalg.solve(np.eye(k) + unit * gram, slope)
+        if np.abs(step).max() <= TOLERANCE * (1 + np.abs(pull).max()):
+            return Fit(pull, target, reached, total)
+        size, now = 1.0, value(pull, area)
+        while True:
+            after = np.round(pull + size * step, 12)
+            found = sums(after)
+            if value(after, found[2]) <= now + 1e-4 * size * (slope @ step) + 1e-12 * abs(now):
+                break
+            size /= 2
+            if size < 1e-12:
+                raise ArithmeticError("the sums over documents are not finite")
+        pull, (reached, gram, area) = after, found
+
+
+def fit_mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float] | None = None, text_col: str = "text", capped: tuple[str, ...] = CAPPED) -> tuple[DataFrame, Fit]:
+    """``docs`` with n_tokens, p and rate, and how the targets were met. Texts are scored once for
+    the sums, of which only tokens and posteriors are stored, and once more for the result."""
     model = learn_domains(docs, labels, text_col=text_col)
     light = cut(posteriors(docs.select(text_col), model, text_col).select("n_tokens", "p"), "posteriors")
-    steps, _, _ = solve(light, weights or WEIGHTS)
+    fit = solve(light, weights or WEIGHTS, capped)
     drop(light)
-    return posteriors(docs, model, text_col).withColumn("rate", rate(steps))
+    return posteriors(docs, model, text_col).withColumn("rate", rate(fit.pull, capped)), fit
+
+
+def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float] | None = None, text_col: str = "text", capped: tuple[str, ...] = CAPPED) -> DataFrame:
+    return fit_mix(docs, labels, weights, text_col, capped)[0]
 
 
-def copies(id_col: str = "doc_id", slack: float = SLACK) -> Column:
-    """How often a document is taken: floor(rate + u), u a hash of its id in [0, 1); rates within
-    ``slack`` of one count as one."""
-    u = F.pmod(F.xxhash64(F.col(id_col), F.lit(41)), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    return F.when(F.abs(F.col("rate") - 1) <= slack, F.lit(1)).otherwise(F.floor(F.col("rate") + u).cast("int"))
+def copies(id_col: str = "doc_id", text_col: str = "text") -> Column:
+    """How often a document is taken: floor(rate + u), u a hash of id and text in [0, 1); on average
+    that is the rate."""
+    u = F.pmod(F.xxhash64(F.lit(41), F.col(id_col), F.col(text_col)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    return F.floor(F.col("rate") + u).cast("int")
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tokens, domain posterior and rate of every document."""
-    mixed = mix(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
-    return mixed.select("doc_id", "n_tokens", *[F.col("p")[i].alias(f"p_{d}") for i, d in enumerate(DOMAINS)], "rate")
+    """Tokens, domain posterior and rate of every document; of its likeliest domain also by how
+    much of all tokens the target is missed, and whether it is met."""
+    mixed, fit = fit_mix(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    domain = F.array_position("p", F.array_max("p")).cast("int")
+    of = lambda values, cast: F.element_at(F.array(*[F.lit(cast(x)) for x in values]), domain)
+    return mixed.select(
+        "doc_id", "n_tokens", *[F.col("p")[i].alias(f"p_{d}") for i, d in enumerate(DOMAINS)], "rate",
+        of(DOMAINS, str).alias("domain"), of(np.round(fit.gap, 6), float).alias("domain_gap"), of(fit.met, bool).alias("domain_met"),
+    )

@@ -291,6 +291,63 @@ def test_toxic_text_is_never_multiplied(spark, every):
     assert share < 0.3 if every == 10 else share > 0.7
 
 
+def least_squares(t, p, target, room, ridge, sweeps=4000):
+    """The fit of rates by coordinate descent, one document after the other."""
+    total, r = t.sum(), np.ones(len(t))
+    r = np.minimum(r, room)
+    gap = (r * t) @ p - target
+    for _ in range(sweeps):
+        for i in range(len(t)):
+            if t[i]:
+                slope = t[i] * (p[i] @ gap) / total**2 + ridge * t[i] * (r[i] - 1) / total
+                curve = t[i] ** 2 * (p[i] @ p[i]) / total**2 + ridge * t[i] / total
+                new = min(max(r[i] - slope / curve, 0.0), room[i])
+                gap += (new - r[i]) * t[i] * p[i]
+                r[i] = new
+    return r
+
+
+@pytest.mark.parametrize("case", ["plain", "huge", "unreachable", "absent", "free"])
+def test_rates_are_the_least_squares_fit(spark, case):
+    rng = np.random.default_rng(5)
+    p = np.round(rng.dirichlet([0.3, 0.2, 0.2], 60), 6)
+    t = rng.integers(0, 200, 60).astype(float)
+    weights, capped, ridge = {"clean": 0.8, "low": 0.15, "toxic": 0.05}, mixing.CAPPED, 0.02
+    if case == "huge":
+        t[7] = 300_000
+    if case == "unreachable":
+        p = np.round(0.6 * p + 0.4 * np.array([0.4, 0.2, 0.4]), 6)  # no document is free of toxic text
+        weights = {"clean": 0.9, "low": 0.1, "toxic": 0.0}
+    if case == "absent":
+        p[:, 0] += p[:, 1]
+        p[:, 1] = 0
+    if case == "free":
+        weights, capped = {"clean": 0.4, "low": 0.3, "toxic": 0.3}, ()
+    scored = spark.createDataFrame([(int(n), x.tolist()) for n, x in zip(t, p)], "n_tokens long, p array<double>")
+    fit = mixing.solve(scored, weights, capped, ridge)
+    got = np.array([r.r for r in scored.select(mixing.rate(fit.pull, capped).alias("r")).collect()])
+    room = np.where(np.isin(p.argmax(axis=1), [mixing.DOMAINS.index(d) for d in capped]), 1.0, np.inf)
+    want = least_squares(t, p, fit.target, room, ridge)
+    assert np.allclose(got[t > 0], want[t > 0], atol=2e-4)
+    assert np.allclose((got * t) @ p, fit.reached, rtol=1e-4)
+    assert fit.met.tolist() == (np.abs((want * t) @ p - fit.target) <= mixing.MET * t.sum()).tolist()
+    assert case != "unreachable" or (not fit.met[2] and (got > 0.2).mean() > 0.5)  # told, and the corpus is not emptied
+
+
+def test_whole_rates_are_unbiased(spark):
+    table = spark.range(20_000).select(F.when(F.col("id") % 2 == 0, F.col("id")).alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"), F.lit(0.9).alias("rate"))
+    got = [r.k for r in table.select(mixing.copies().alias("k")).collect()]
+    assert set(got) == {0, 1} and abs(np.mean(got[0::2]) - 0.9) < 0.01 and abs(np.mean(got[1::2]) - 0.9) < 0.01
+
+
+def test_calibration_mends_overconfidence():
+    rng = np.random.default_rng(8)
+    true = rng.normal(0, 1.5, (4000, 3))
+    labels = np.array([rng.choice(3, p=x) for x in mixing._softmax(true)])
+    factor, shift = mixing.calibrate(4 * true + np.array([1.0, 0, 0]), labels)
+    assert factor == pytest.approx(0.25, abs=0.04) and shift[0] - shift[1] == pytest.approx(-0.25, abs=0.2)
+
+
 # chat
 
 def test_chat(spark):
