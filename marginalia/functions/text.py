@@ -83,6 +83,7 @@ def first_boxed(c: Column, depth: int = 3) -> Column:
 
 def clean_problem(c: Column) -> Column:
     """Without a heading ``[b]Problem #n:[/b]`` and without ``[i]... proposed by ...[/i]``."""
+    # fixed values: the input's own marks
     c = F.regexp_replace(c, rf"(?i)\A\[b\]problem #\d+:\[/b\]{SPACE}*", "")
     return strip_space(F.regexp_replace(c, r"(?i)\[i\][^\[]*?proposed by [^\[]*?\[/i\]", ""))
 

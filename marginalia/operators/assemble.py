@@ -13,6 +13,7 @@ from ..functions.lists import drop_postscript, link_drawings, split_list
 from ..functions.text import SPACE, clean_choices, clean_problem, extract_choices, strip_space
 from ..sources.registry import NOTICE_POST, REMARK_POSTER
 
+# Patterns of headers.
 SAME_AS = r"\Asame as ([a-zA-Z]+ ){1,3}(\d+)\z"
 DAY = rf"\A[dD]ay{SPACE}\d+\z"
 

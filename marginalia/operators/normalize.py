@@ -9,19 +9,34 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..scratch import cut
+from ..sources import schemas
+
+
+BUCKET = 1 << 16
+
 
 def dense_ids(rows: DataFrame, order: list[Column | str], name: str = "id") -> DataFrame:
-    """Adds 0, 1, 2, ... in ``order``; for tables with a row for each series or test."""
-    return rows.withColumn(name, (F.row_number().over(Window.orderBy(*order)) - 1).cast("long"))
+    """Adds 0, 1, 2, ... in ``order``: rows are dealt to tasks by range, numbered within each, and
+    shifted by the sizes of the ranges before, of which there is one row for each task."""
+    dealt = cut(rows.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranges")
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = dealt.groupBy("_range").agg(F.count(F.lit(1)).alias("_size")).select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_shift"))
+    rank = F.row_number().over(Window.partitionBy("_range").orderBy(*order)) - 1
+    return dealt.withColumn("_rank", rank).join(shifts, "_range").withColumn(name, (F.col("_shift") + F.col("_rank")).cast("long")).drop("_range", "_rank", "_shift")
 
 
 def numbered_within(rows: DataFrame, parents: DataFrame, parent: str, order: list[Column | str], name: str = "id") -> DataFrame:
-    """Adds dense ids to ``rows``, which follow their parents' order and ``order`` within one."""
-    sizes = rows.groupBy(parent).agg(F.count(F.lit(1)).alias("size"))
-    before = Window.orderBy(parent).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = parents.select(parent).join(sizes, parent).withColumn("offset", F.coalesce(F.sum("size").over(before), F.lit(0))).drop("size")
+    """Adds dense ids to ``rows``, which follow their parents' order and ``order`` within one.
+    Parents have dense ids, so their sizes are added up bucket by bucket."""
+    sizes = rows.groupBy(parent).agg(F.count(F.lit(1)).alias("_size"))
+    sized = parents.select(parent).join(sizes, parent).withColumn("_bucket", F.floor(F.col(parent) / BUCKET))
+    so_far = lambda w: F.coalesce(F.sum("_size").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    shifts = sized.groupBy("_bucket").agg(F.sum("_size").alias("_size")).select("_bucket", so_far(Window.orderBy("_bucket")).alias("_shift"))
+    inner = sized.withColumn("_inner", so_far(Window.partitionBy("_bucket").orderBy(parent))).join(shifts, "_bucket")
+    offsets = inner.select(parent, (F.col("_inner") + F.col("_shift")).alias("_offset"))
     rank = F.row_number().over(Window.partitionBy(parent).orderBy(*order)) - 1
-    return rows.withColumn("rank", rank).join(offsets, parent).withColumn(name, (F.col("offset") + F.col("rank")).cast("long")).drop("rank", "offset")
+    return rows.withColumn("_rank", rank).join(offsets, parent).withColumn(name, (F.col("_offset") + F.col("_rank")).cast("long")).drop("_rank", "_offset")
 
 
 def series_table(names: DataFrame, order: list[Column | str]) -> DataFrame:
@@ -29,28 +44,30 @@ def series_table(names: DataFrame, order: list[Column | str]) -> DataFrame:
     return dense_ids(names, order).withColumn("is_official", F.lit(False))
 
 
-def tests_table(tests: DataFrame, titles: DataFrame, flat: DataFrame) -> DataFrame:
+def tests_table(tests: DataFrame, titles: DataFrame, flat: DataFrame, key: str = "test_id") -> DataFrame:
     """A row for each section of a test, one for a test without sections, and one without a section
     for a test that also has problems before its first section.
 
-    ``tests``: series_id, test_id, name, year, computational, path. ``titles``: test_id,
-    section_no, section. ``flat``: test_id of tests with problems outside sections.
+    ``tests``: series_id, test_id, name, year, computational, path, and ``key``, which names a test
+    in all tables (test_id, or another column where a test occurs more than once). ``titles``: key,
+    section_no, section. ``flat``: key of tests with problems outside sections. The columns key and
+    section_no only serve to join problems.
     """
-    have = titles.select("test_id").distinct().withColumn("has_sections", F.lit(True))
-    loose = flat.select("test_id").distinct().withColumn("has_loose", F.lit(True))
-    bare = tests.join(have, "test_id", "left").join(loose, "test_id", "left").where("has_sections IS NULL OR has_loose").drop("has_sections", "has_loose")
-    rows = tests.join(titles, "test_id").unionByName(bare.withColumn("section_no", F.lit(None).cast("int")).withColumn("section", F.lit(None).cast("string")))
+    have = titles.select(key).distinct().withColumn("has_sections", F.lit(True))
+    loose = flat.select(key).distinct().withColumn("has_loose", F.lit(True))
+    bare = tests.join(have, key, "left").join(loose, key, "left").where("has_sections IS NULL OR has_loose").drop("has_sections", "has_loose")
+    rows = tests.join(titles, key).unionByName(bare.withColumn("section_no", F.lit(None).cast("int")).withColumn("section", F.lit(None).cast("string")))
     rows = dense_ids(rows, ["series_id", "path", F.col("section_no").asc_nulls_first()])
     return rows.select(
         "id", F.col("series_id").alias("series"), F.concat_ws(" + ", "name", "section").alias("name"), "year", F.array().cast("array<string>").alias("links"),
-        F.lit(0).alias("quality"), F.lit(0).alias("difficulty"), F.col("test_id").alias("aops_id"), F.col("computational").alias("is_computational"), "section_no",
+        F.lit(0).alias("quality"), F.lit(0).alias("difficulty"), F.col("test_id").alias("aops_id"), F.col("computational").alias("is_computational"), F.col(key).alias("key"), "section_no",
     )
 
 
-def problems_table(rows: DataFrame, tests: DataFrame) -> DataFrame:
+def problems_table(rows: DataFrame, tests: DataFrame, key: str = "test_id") -> DataFrame:
     """The problems of ``answers.answer`` with ids, joined to ``tests_table`` by test and section."""
-    keys = tests.select(F.col("id").alias("test_key"), F.col("aops_id").alias("test_id"), "section_no", "is_computational")
-    joined = rows.alias("r").join(keys.alias("k"), (F.col("r.test_id") == F.col("k.test_id")) & F.col("r.section_no").eqNullSafe(F.col("k.section_no")))
+    keys = tests.select(F.col("id").alias("test_key"), "key", "section_no", "is_computational")
+    joined = rows.withColumnRenamed(key, "row_key").alias("r").join(keys.alias("k"), (F.col("r.row_key") == F.col("k.key")) & F.col("r.section_no").eqNullSafe(F.col("k.section_no")))
     joined = joined.select("k.test_key", "r.pos", "r.j", "r.statement", "r.n", "r.answer_index", "r.answers", "r.topic_id", "k.is_computational")
     out = numbered_within(joined, keys.select("test_key"), "test_key", ["pos", "j"])
     return out.select(
@@ -60,10 +77,28 @@ def problems_table(rows: DataFrame, tests: DataFrame) -> DataFrame:
 
 
 def from_nested(series: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Series, tests and problems of an array of nested series (see schemas.NESTED_SERIES)."""
+    """Series, tests and problems of an array of nested series (see schemas.NESTED_SERIES).
+
+    The k-th array among a test's problems belongs to its k-th section; problems outside arrays
+    to the section that they name or, without sections, to the test. A test that occurs twice,
+    in one series or in two, is two tests. An answer that is null in the source is -1 and one that
+    the source has not is null.
+    """
     top = series_table(series.withColumn("at", F.monotonically_increasing_id()), ["at"])
-    tests = top.select(F.col("id").alias("series_id"), F.posexplode("tests").alias("p", "t")).select("series_id", F.array("p").alias("path"), F.col("t.id").alias("test_id"), "t.name", "t.year", "t.computational", "t.sections", "t.problems")
-    titles = tests.select("test_id", F.posexplode("sections").alias("section_no", "section"))
-    rows = tests.select("test_id", F.posexplode("problems").alias("pos", "q")).select("test_id", F.col("q.section").alias("section_no"), "pos", F.lit(0).alias("j"), "q.statement", "q.n", F.col("q.answer").alias("answer_index"), F.coalesce("q.choices", F.array().cast("array<string>")).alias("answers"), "q.topic_id")
-    table = tests_table(tests.drop("sections", "problems"), titles, rows.where("section_no IS NULL"))
-    return top.select("id", "name", "is_official"), table, problems_table(rows, table)
+    tests = top.select(F.col("id").alias("series_id"), F.posexplode("tests").alias("p", "t"))
+    tests = tests.select("series_id", F.array("p").alias("path"), F.struct("series_id", "p").alias("key"), F.col("t.id").alias("test_id"), "t.name", "t.year", "t.computational", F.coalesce("t.sections", F.array()).alias("sections"), "t.problems")
+    titles = tests.select("key", F.posexplode("sections").alias("section_no", "section"))
+    entries = tests.withColumn("entries", F.from_json("problems", "array<string>")).withColumn("listed", F.transform("entries", lambda e: e.startswith("[").cast("int")))
+    cells = entries.select("key", F.size("sections").alias("n_sections"), "listed", F.posexplode("entries").alias("pos", "entry"))
+    before = F.aggregate(F.slice("listed", F.lit(1), F.col("pos")), F.lit(0), lambda a, x: a + x)
+    one = F.array(F.col("entry"))
+    cells = cells.withColumn("section", F.when(F.col("entry").startswith("["), before)).withColumn("texts", F.when(F.col("section").isNotNull(), F.from_json("entry", "array<string>")).otherwise(one))
+    rows = cells.select("key", "n_sections", "section", "pos", F.posexplode("texts").alias("j", "text")).withColumn("q", F.from_json("text", schemas.PROBLEM))
+    section = F.coalesce("section", "q.section")
+    rows = rows.select(
+        "key", F.when((section >= 0) & (section < F.col("n_sections")), section).alias("section_no"), "pos", "j", "q.statement", "q.n",
+        F.when(F.col("q.answer").isNull() & F.coalesce(F.array_contains(F.json_object_keys("text"), "answer"), F.lit(False)), -1).otherwise(F.col("q.answer")).alias("answer_index"),
+        F.coalesce("q.choices", F.array().cast("array<string>")).alias("answers"), "q.topic_id",
+    )
+    table = tests_table(tests.drop("sections", "problems"), titles, rows.where("section_no IS NULL"), "key")
+    return top.select("id", "name", "is_official"), table, problems_table(rows, table, "key")

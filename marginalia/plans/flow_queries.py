@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import answers, assemble, forum_rules, normalize, traverse
+from ..scratch import place
 from ..sources import registry
 from ..streaming import ingest
 from . import sql
@@ -205,10 +203,9 @@ def forum_groups(spark, sf_dir):
 def stream_dedup(spark, sf_dir):
     events = read(spark, sf_dir, "events")
     rows = ingest.stream_files(spark, f"{sf_dir}/events.parquet*", events.select("user_id", "event_type").schema.simpleString()[7:-1].replace(":", " "), "parquet")
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="marginalia-")
-    name = f"seen_{uuid.uuid4().hex}"
-    ingest.run_once(ingest.first_seen(rows, ["user_id", "event_type"]), name, f"{folder.rstrip('/')}/{name}")
-    return spark.table(name)
+    seen = place(spark, "seen")
+    ingest.run_once(ingest.first_seen(rows, ["user_id", "event_type"]), seen, f"{seen}-state")
+    return spark.read.schema(rows.schema).parquet(seen)
 
 
 QUERIES = {

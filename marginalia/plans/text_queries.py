@@ -152,8 +152,9 @@ def csv_array(spark, sf_dir):
     return read(spark, sf_dir, "part").select("p_partkey", text.csv_array(F.array("p_brand", F.lit(None).cast("string"), "p_type")).alias("cell"))
 
 
-def keyset_page(spark, sf_dir):
-    return readers.keyset_page(read(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate"), "o_orderkey", 500, 50)
+def keyset_scan(spark, sf_dir):
+    """Every order, with the page on which a scan by falling key finds it."""
+    return readers.keyset_scan(read(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate"), "o_orderkey", 50)
 
 
 def form_encode(spark, sf_dir):
@@ -171,7 +172,7 @@ QUERIES = {
     for f in (
         list_split, list_split_plain, list_split_start, list_split_tag, list_postscript, entity_latex, html_sanitize, unescape_text, boxed_answer,
         boxed_too_deep, clean_problem, asy_links, link_extract, choices_extract, choices_clean, mcq_parse, answer_index, year_extract, infer_type,
-        registry_search, registry_union, registry_series, csv_cell, csv_array, keyset_page, form_encode, progress_bar,
+        registry_search, registry_union, registry_series, csv_cell, csv_array, keyset_scan, form_encode, progress_bar,
     )
 }
 
@@ -187,7 +188,7 @@ ORACLE_SQL = {
     "list_split_start": _numbered_sql(3),
     "list_split_tag": _numbered_sql(),
     "list_postscript": "SELECT p_partkey, 'first P.S. hide for answers|' || p_name AS items FROM part",
-    "entity_latex": f"SELECT page_id, {sql.latex('substr(html, 1, 300)')} AS latex FROM pages",
+    "entity_latex": f"SELECT page_id, {sql.latex('html')} AS latex FROM pages",
     "html_sanitize": f"SELECT doc_id, {sql.replaced('text', text.HTML)} AS html FROM documents",
     "unescape_text": f"SELECT doc_id, {sql.replaced('replace(text, chr(10), ' + sql.quote(chr(92) + 'n') + ')', text.ESCAPES)} AS plain FROM documents",
     "boxed_answer": r"""SELECT l_orderkey, l_linenumber, CASE l_linenumber % 3 WHEN 0 THEN '' WHEN 1 THEN '\frac{' || l_partkey || '}{' || l_suppkey || '}' END AS boxed FROM lineitem""",
@@ -211,7 +212,7 @@ ORACLE_SQL = {
     "csv_cell": """SELECT doc_id, CASE WHEN regexp_matches(replace(text, chr(13) || chr(10), chr(10)), '[",\\n\\r]')
       THEN '"' || replace(replace(text, chr(13) || chr(10), chr(10)), '"', '""') || '"' ELSE coalesce(replace(text, chr(13) || chr(10), chr(10)), '') END AS cell FROM documents""",
     "csv_array": """SELECT p_partkey, '"' || replace(coalesce(p_brand, '') || ',,' || coalesce(p_type, ''), '"', '""') || '"' AS cell FROM part""",
-    "keyset_page": "SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderkey < 500 ORDER BY o_orderkey DESC LIMIT 50",
+    "keyset_scan": "SELECT o_orderkey, o_orderdate, (row_number() OVER (ORDER BY o_orderkey DESC) - 1) // 50 AS page_no FROM orders",
     "form_encode": "SELECT n_nationkey, 'sought_category_ids=%5B%5D&seek_items=1&log_visit=0&a=fetch_items_categories&parent_category_id=' || n_nationkey || '&start_num=' || n_regionkey AS body FROM nation",
     "progress_bar": """SELECT c_nationkey AS n_nationkey, repeat('█', f) || repeat('░', 20 - f) AS bar FROM (
       SELECT c_nationkey, floor(20 * least(80, count(*)) / 80 + 0.5)::INTEGER AS f FROM customer GROUP BY c_nationkey)""",

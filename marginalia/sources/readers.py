@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.normalize import dense_ids
 from . import schemas
 
 
@@ -32,15 +33,28 @@ def raw_items(pages: DataFrame) -> DataFrame:
 
 def topic_posts(spark: SparkSession, path: str) -> DataFrame:
     """Posts of topics in order; a refused topic is one row with its error code."""
-    pages = spark.read.schema(schemas.TOPIC_PAGE).json(path)
+    return posts(spark.read.schema(schemas.TOPIC_PAGE).json(path))
+
+
+def posts(pages: DataFrame) -> DataFrame:
     rows = pages.select("topic_id", "error_code", F.posexplode_outer("response.topic.posts_data").alias("pos", "p"))
     return rows.select("topic_id", F.coalesce("pos", F.lit(0)).alias("pos"), "p.post_canonical", "error_code")
 
 
 def forum_topics(spark: SparkSession, path: str) -> DataFrame:
     """The topics of all pages up to the one that says there are no more."""
-    pages = spark.read.schema(schemas.FORUM_PAGE).json(path)
-    return pages.where(~F.coalesce("no_more_topics", F.lit(False))).select("page_no", F.explode("response.topics").alias("t")).select("page_no", "t.*")
+    return topics(spark.read.schema(schemas.FORUM_PAGE).json(path))
+
+
+def topics(pages: DataFrame) -> DataFrame:
+    """category_id of the forum, page_no and the topics of each page."""
+    return pages.where(~F.coalesce("no_more_topics", F.lit(False))).select("category_id", "page_no", F.explode("response.topics").alias("t")).select("category_id", "page_no", "t.*")
+
+
+def keyset_scan(rows: DataFrame, cursor: str, size: int) -> DataFrame:
+    """All rows with their page_no when pages of ``size`` are read by falling cursor. Only a page's
+    number depends on the rows before, so this is a ranking by range and no loop."""
+    return dense_ids(rows, [F.desc(cursor)], "rank").withColumn("page_no", F.floor(F.col("rank") / size)).drop("rank")
 
 
 def nested_series(spark: SparkSession, path: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TYPE_SCHEMA = "key string, id int, computational boolean, name string, choices boolean"
-REGISTRY_SCHEMA = "grp string, name string, id long, ids array<long>, link string, kind string, seeds array<int>, dist int, infer boolean"
+REGISTRY_SCHEMA = "grp string, name string, id long, ids array<long>, link string, kind string, `range` array<int>, dist int, infer boolean"
 
 # Contest types (key, id, computational, name, choices).
 TYPES = (
@@ -27,10 +27,10 @@ REMARK_POSTER = 167643
 
 # The contest registry (group, name, id, further fields).
 CONTESTS = (
-    ("MAA", "AMC 8", 3413, {"seeds": [800, 1100], "dist": 1}),
-    ("MAA", "AMC 10", 3414, {"seeds": [950, 1700], "dist": 2}),
-    ("MAA", "AMC 12", 3415, {"seeds": [1050, 1900], "dist": 2}),
-    ("MAA", "AIME", 3416, {"seeds": [1400, 2300], "dist": 1}),
+    ("MAA", "AMC 8", 3413, {"range": [800, 1100], "dist": 1}),
+    ("MAA", "AMC 10", 3414, {"range": [950, 1700], "dist": 2}),
+    ("MAA", "AMC 12", 3415, {"range": [1050, 1900], "dist": 2}),
+    ("MAA", "AIME", 3416, {"range": [1400, 2300], "dist": 1}),
     ("MAA", "USAMTS", 3412, {"link": "https://www.usamts.org/contest/past-problems/"}),
     ("CollegeComp", "CMIMC", 253928, {"link": "https://cmimc.math.cmu.edu/math/past-problems"}),
     ("CollegeComp", "CHMMC", 2746308, {"link": "https://www.caltechmathmeet.org/problems"}),
@@ -75,7 +75,7 @@ def types(spark: SparkSession) -> DataFrame:
 
 
 def registry(spark: SparkSession) -> DataFrame:
-    fields = ("ids", "link", "kind", "seeds", "dist", "infer")
+    fields = ("ids", "link", "kind", "range", "dist", "infer")
     return spark.createDataFrame([(g, n, i, *[more.get(f) for f in fields]) for g, n, i, more in CONTESTS], REGISTRY_SCHEMA)
 
 

@@ -5,6 +5,9 @@ as ``module:function`` and runs on the executors, one id in each partition. Cred
 function's own matter and are never options. Kinds: ``category`` (all pages, by the number of items
 so far), ``forum`` (all pages, by the last post's time), ``topic`` (one page).
 
+A server that takes form posts needs no client of its own, only a module with
+``fetch = post_client(url, fields)``.
+
     spark.dataSource.register(PageSource)
     raw = spark.read.format("pages").options(kind="category", ids="3413,3414", fetch="client:fetch").load()
     pages = as_category_pages(raw)
@@ -14,17 +17,56 @@ from __future__ import annotations
 
 import importlib
 import json
-from collections.abc import Iterator
+import time
+import urllib.error
+import urllib.parse
+import urllib.request
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from . import schemas
+from .readers import ID_FIELD, REQUESTS
 
 MAX_PAGES = 1_000_000
 
 
+def post_client(url: str, fields: dict[str, str] | None = None, headers: dict[str, str] | None = None, timeout: float = 30.0, retries: int = 3, wait: float = 0.5) -> Callable[[str, int, int | None], str]:
+    """A fetch function that posts forms to ``url``.
+
+    ``fields`` (a session's, for example) go before those of the request, ``headers`` with each
+    request. Failed connections and answers 429 and 5xx are tried again ``retries`` times, each
+    time after twice the wait; other answers raise at once, and so does what is no JSON.
+    """
+
+    def fetch(kind: str, ident: int, cursor: int | None) -> str:
+        request = "items" if kind == "category" and cursor is not None else kind
+        form = {**(fields or {}), **REQUESTS[request], ID_FIELD[request]: str(ident)}
+        if request == "items":
+            form["start_num"] = str(cursor)
+        elif request == "forum" and cursor is not None:
+            form["fetch_before"] = str(cursor)
+        call = urllib.request.Request(url, urllib.parse.urlencode(form).encode(), headers or {}, method="POST")
+        for tried in range(retries + 1):
+            try:
+                with urllib.request.urlopen(call, timeout=timeout) as answer:
+                    body = answer.read().decode()
+                json.loads(body)
+                return body
+            except urllib.error.HTTPError as e:
+                if tried == retries or e.code != 429 and e.code < 500:
+                    raise
+            except (urllib.error.URLError, TimeoutError, ConnectionError):
+                if tried == retries:
+                    raise
+            time.sleep(wait * 2**tried)
+        raise AssertionError
+
+    return fetch
+
+
 class PageSource(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -70,10 +112,10 @@ class PageReader(DataSourceReader):
                 return
 
 
-def _parsed(raw: DataFrame, schema: str, id_name: str | None) -> DataFrame:
+def _parsed(raw: DataFrame, schema: str, id_name: str) -> DataFrame:
     fields = ", ".join(f for f in schema.split(", ") if not f.startswith(("category_id ", "topic_id ", "page_no ")))
     rows = raw.select("id", "page_no", F.from_json("body", fields).alias("x")).select("id", "page_no", "x.*")
-    return rows.withColumnRenamed("id", id_name) if id_name else rows.drop("id")
+    return rows.withColumnRenamed("id", id_name)
 
 
 def as_category_pages(raw: DataFrame) -> DataFrame:
@@ -85,4 +127,4 @@ def as_topic_pages(raw: DataFrame) -> DataFrame:
 
 
 def as_forum_pages(raw: DataFrame) -> DataFrame:
-    return _parsed(raw, schemas.FORUM_PAGE, None)
+    return _parsed(raw, schemas.FORUM_PAGE, "category_id")

@@ -12,14 +12,16 @@ def stream_files(spark: SparkSession, path: str, schema: str, fmt: str = "json",
 
 
 def first_seen(rows: DataFrame, keys: list[str], time_col: str | None = None, delay: str = "1 day") -> DataFrame:
-    """Each key once. With a time column state older than ``delay`` is dropped."""
+    """Each key once. With a time column state older than ``delay`` is dropped; without one the
+    state keeps every key, so it is for sources whose keys are bounded, such as a registry's."""
     if time_col is None:
         return rows.dropDuplicates(keys)
     return rows.withWatermark(time_col, delay).dropDuplicatesWithinWatermark(keys)
 
 
-def run_once(rows: DataFrame, table: str, checkpoint: str, mode: str = "append") -> StreamingQuery:
-    """Writes all that is there to an in-memory table and stops."""
-    query = rows.writeStream.format("memory").queryName(table).option("checkpointLocation", checkpoint).outputMode(mode).trigger(availableNow=True).start()
+def run_once(rows: DataFrame, path: str, checkpoint: str, mode: str = "append") -> StreamingQuery:
+    """Writes all that is there to Parquet files under ``path`` and stops. Files of a batch are
+    listed in the sink's log, so a batch that is run again adds nothing twice."""
+    query = rows.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode(mode).trigger(availableNow=True).start()
     query.awaitTermination()
     return query

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import threading
+import time
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
@@ -57,3 +61,48 @@ class RowCounter(StreamingQueryListener):
 
     def onQueryTerminated(self, event) -> None:
         pass
+
+
+class Count:
+    """A label with a count; done from ``least`` on."""
+
+    def __init__(self, label: str = "Label: ", least: int = 20) -> None:
+        self.label, self.least, self.value = label, least, 0
+
+    def add(self, n: int = 1) -> None:
+        self.value += n
+
+    def done(self) -> bool:
+        return self.value >= self.least
+
+    def render(self) -> str:
+        return f"{self.label} {self.value}"
+
+
+class Ticker:
+    """Calls ``show`` every ``every`` seconds while a block runs, and once when it ends."""
+
+    def __init__(self, show: Callable[[], None], every: float = 0.3) -> None:
+        self.show, self.every = show, every
+        self._stop, self._thread = threading.Event(), None
+
+    def _run(self) -> None:
+        while not self._stop.wait(self.every):
+            self.show()
+
+    def __enter__(self) -> Ticker:
+        self._thread = threading.Thread(target=self._run, daemon=True)
+        self._thread.start()
+        return self
+
+    def __exit__(self, *_) -> None:
+        self._stop.set()
+        self._thread.join()
+        self.show()
+
+
+def collected(run: Callable[[], int], ident: str) -> str:
+    """Runs a job that returns its count; a line with count and elapsed milliseconds."""
+    began = time.monotonic()
+    n = run()
+    return f"Collected {n} problems in {int(1000 * (time.monotonic() - began))}ms from {ident}"

@@ -1,11 +1,13 @@
 """Tree walk, assembly, answers, normalisation, readers, sinks and streams on small tables."""
 
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from marginalia.operators import answers, assemble, forum_rules, normalize, traverse
+from marginalia import scratch
+from marginalia.operators import answers, assemble, forum_rules, nest, normalize, traverse
 from marginalia.sources import readers, registry, schemas, sinks
 from marginalia.streaming import ingest, progress
 
@@ -121,12 +123,79 @@ def test_normalised(spark, tmp_path):
     assert [tuple(r) for r in series.collect()] == [(0, "S", False)]
     assert [(r.id, r.name, r.aops_id) for r in tests.orderBy("id").collect()] == [(0, "A + I", 7), (1, "A + II", 7), (2, "B", 8)]
     assert [(r.id, r.test_id, r.answer_index, r.answers) for r in problems.orderBy("id").collect()] == [(0, 0, 0, ["5"]), (1, 1, None, []), (2, 2, -1, [])]
-    sinks.write_normalised(series, tests.drop("section_no"), problems.coalesce(1), str(tmp_path / "out"))
+    sinks.write_normalised(series, tests, problems.coalesce(1), str(tmp_path / "out"))
     lines = "".join(p.read_text() for p in (tmp_path / "out/problems.csv").glob("*.csv")).splitlines()
-    assert lines[0].startswith("id,test_id,statement") and '0,0,"p,1",0,0,5,0,0,false,1,O,true' in lines
+    assert lines[0].startswith("id,test_id,statement") and '0,0,"p,1",0,0,"5",0,0,false,1,O,true' in lines and '1,1,"q""",,,"",0,0,false,2,O,true' in lines
     assert len(list((tmp_path / "out/problems.json").glob("*.json"))) >= 1
 
 
+def test_sectioned_and_repeated(spark, tmp_path):
+    """Arrays of problems for each section, problems before the first section, an unknown answer
+    against none, and a test that two series share."""
+    p = lambda t, **more: {"statement": f"s{t}", "topic_id": t, **more}
+    test = {"id": 7, "name": "A", "year": None, "sections": ["I", "II"], "computational": True, "problems": [p(0), [p(1, answer=None, n=0), p(2, answer=3)], [p(3)]]}
+    plain = {"id": 8, "name": "B", "sections": [], "problems": [p(4, section=0, choices=["x", None])]}
+    nested = [{"name": "S", "tests": [test, plain]}, {"name": "T", "tests": [test, {"id": 9, "name": "C", "sections": [], "problems": []}]}]
+    (tmp_path / "raw.json").write_text(json.dumps(nested))
+    _, tests, problems = normalize.from_nested(readers.nested_series(spark, str(tmp_path / "raw.json")))
+    assert [(r.id, r.series, r.name) for r in tests.orderBy("id").collect()] == [(0, 0, "A"), (1, 0, "A + I"), (2, 0, "A + II"), (3, 0, "B"), (4, 1, "A"), (5, 1, "A + I"), (6, 1, "A + II"), (7, 1, "C")]
+    got = [(r.id, r.test_id, r.aops_id, r.answer_index, r.answers) for r in problems.orderBy("id").collect()]
+    assert got[:5] == [(0, 0, 0, None, []), (1, 1, 1, -1, []), (2, 1, 2, 3, []), (3, 2, 3, None, []), (4, 3, 4, None, ["x", None])]
+    assert [(g[0], g[1], g[2]) for g in got[5:]] == [(5, 4, 0), (6, 5, 1), (7, 5, 2), (8, 6, 3)]
+
+
+def test_nested_result(spark):
+    nodes = spark.createDataFrame(
+        [(10, "folder", "F", [0]), (11, "folder", 'G "q"', [0, 1]), (20, "view_posts", "T", [0, 0]), (21, "view_posts", "U", [0, 1, 0]), (30, "folder", "empty", [1]), (22, "view_posts", "V", [2])],
+        "item_id bigint, item_type string, name string, path array<int>",
+    )
+    tests = spark.createDataFrame([(20, "T", "2020", True, "HMMT"), (21, "U", None, None, "UNKNOWN"), (22, "V", None, False, "AMO")], "test_id bigint, name string, year string, computational boolean, type string")
+    titles = spark.createDataFrame([(20, 0, "I"), (20, 1, "II")], "test_id bigint, section_no int, section string")
+    rows = spark.createDataFrame([(20, None, 0, 0, "a"), (20, 0, 1, 0, "b"), (20, 0, 1, 1, "c"), (22, None, 0, 0, "d")], "test_id bigint, section_no int, pos int, j int, statement string")
+    made = nest.tests_json(tests, titles, rows)
+    t = {"sections": ["I", "II"], "problems": [{"statement": "a"}, [{"statement": "b", "section": 0}, {"statement": "c", "section": 0}], []], "id": 20, "name": "T", "year": "2020", "computational": True, "type": "HMMT", "count": 3}
+    u = {"sections": [], "problems": [], "id": 21, "name": "U", "year": None, "computational": None, "type": "UNKNOWN", "count": 0}
+    v = {"sections": [], "problems": [{"statement": "d"}], "id": 22, "name": "V", "year": None, "computational": False, "type": "AMO", "count": 1}
+    by = lambda depth: json.loads(nest.nested_result(nodes, made, "root", depth).first().json)
+    assert by(0) == {"name": "root", "tests": [t, u, v], "count": 4}
+    g = {"name": 'G "q"', "tests": [u], "count": 0}
+    assert by(1) == {"name": "root", "tests": [{"name": "F", "tests": [t, u], "count": 3}, {"name": "empty", "tests": [], "count": 0}, v], "count": 4}
+    assert by(2) == {"name": "root", "tests": [{"name": "F", "tests": [t, g], "count": 3}, {"name": "empty", "tests": [], "count": 0}, v], "count": 4}
+    assert json.loads(nest.nested_result(nodes.limit(0), made, "root", 1).first().json) == {"name": "root", "tests": [], "count": 0}
+
+
+def test_walk_of_shared_folders(spark):
+    """Layers of folders that share all of the next layer: paths double with each layer, folders do
+    not; the first path of each counts. A later level may find an earlier path."""
+    raw = [(1, 0, 100, "folder", "a"), (1, 1, 101, "folder", "b")]
+    for layer in range(1, 25):
+        raw += [(100 * layer + k, j, 100 * (layer + 1) + j, "folder", f"{layer}{j}") for k in (0, 1) for j in (0, 1)]
+    raw += [(2501, 7, 9, "view_posts", "deep"), (1, 2, 77, "folder", "late"), (101, 5, 77, "folder", "late"), (77, 0, 78, "view_posts", "x")]
+    table = spark.createDataFrame(raw, "category_id bigint, pos int, item_id bigint, item_type string, item_text string")
+    names = spark.createDataFrame([(1, "root")], schemas.RAW_CATEGORIES)
+    found = {r.item_id: r.path for r in traverse.walk(table, names, 1).collect()}
+    assert len(found) == 2 + 48 + 3 and found[9] == [0] * 24 + [1, 7] and found[77] == [1, 5] and found[78] == [1, 5, 0]
+
+
+def test_walk_of_many_leaves(spark):
+    leaves = spark.range(1_200_000).select(F.lit(5).cast("bigint").alias("category_id"), F.col("id").cast("int").alias("pos"), (F.col("id") + 10).alias("item_id"), F.lit("view_posts").alias("item_type"), F.lit("t").alias("item_text"))
+    top = spark.createDataFrame([(1, 0, 5, "folder", "f")], leaves.schema)
+    got = traverse.walk(top.unionByName(leaves), spark.createDataFrame([(1, "root")], schemas.RAW_CATEGORIES), 1)
+    assert got.agg(F.count("*"), F.max("path")).first() == (1_200_001, [0, 1_199_999])
+
+
+def test_keyset_page(spark):
+    rows = spark.range(100)
+    assert [r.id for r in readers.keyset_page(rows, "id", 50, 3).collect()] == [49, 48, 47]
+    assert {r.id: r.page_no for r in readers.keyset_scan(rows, "id", 30).collect()} == {i: (99 - i) // 30 for i in range(100)}
+
+
+def test_dense_ids_over_ranges(spark):
+    rows = spark.range(1000).select((F.col("id") * 37 % 1000).alias("k"), (F.col("id") % 7).alias("p")).repartition(5)
+    assert {r.id for r in normalize.dense_ids(rows, ["k"]).where("id = k").collect()} == set(range(1000))
+    assert normalize.dense_ids(rows.limit(0), ["k"]).count() == 0
+
+
 def test_pages(spark, tmp_path):
     item = lambda i: {"item_id": i, "item_type": "view_posts", "item_text": f"t{i}"}
     pages = [
@@ -158,8 +227,8 @@ def test_stream(spark, tmp_path):
     for k in range(3):
         (tmp_path / "in" / f"{k}.json").write_text("\n".join(json.dumps({"item_id": i}) for i in range(k, k + 3)))
     rows = ingest.stream_files(spark, str(tmp_path / "in"), "item_id bigint", files_per_trigger=1)
-    ingest.run_once(ingest.first_seen(rows, ["item_id"]), "seen_items", str(tmp_path / "state"))
-    assert sorted(r.item_id for r in spark.table("seen_items").collect()) == [0, 1, 2, 3, 4]
+    ingest.run_once(ingest.first_seen(rows, ["item_id"]), str(tmp_path / "out"), str(tmp_path / "state"))
+    assert sorted(r.item_id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [0, 1, 2, 3, 4]
 
 
 def test_progress(spark):
@@ -174,6 +243,30 @@ def test_progress(spark):
     assert bars.done() and "a [1 / 1]" in bars.render()
 
 
+def test_count_and_ticker():
+    count, shown = progress.Count("n:"), []
+    with progress.Ticker(lambda: shown.append(count.render()), every=0.01):
+        for _ in range(20):
+            assert not count.done()
+            count.add()
+            time.sleep(0.005)
+    assert count.done() and shown[-1] == "n: 20" and len(shown) > 1
+    line = progress.collected(lambda: 7, "3417")
+    assert line.startswith("Collected 7 problems in ") and line.endswith("ms from 3417")
+
+
+def test_shared_folder_is_named_on_clusters():
+    class Context:
+        master, applicationId = "spark://x", "a"
+
+    class Session:
+        sparkContext = Context()
+        conf = type("C", (), {"get": staticmethod(lambda *a: None)})
+
+    with pytest.raises(RuntimeError):
+        scratch.shared_dir(Session())
+
+
 def test_empty_tables(spark):
     none = items(spark, WORKED).limit(0)
     flagged = assemble.flag_items(none)
