@@ -28,6 +28,25 @@ def basis() -> np.ndarray:
     return np.rint(np.einsum("ux,vy->uvxy", one, one).reshape(64, 64) * 8192)
 
 
+# The Huffman tables of the standard (annex K), which motion-JPEG frames usually leave
+# out: how many codes of each length, and the symbols in the order of their codes.
+DC_LUMA = bytes((0, 1, 5, 1, 1, 1, 1, 1, 1, 0, 0, 0, 0, 0, 0, 0)), bytes(range(12))
+DC_CHROMA = bytes((0, 3, 1, 1, 1, 1, 1, 1, 1, 1, 1, 0, 0, 0, 0, 0)), bytes(range(12))
+AC_LUMA_FIRST = "01 02 03 00 04 11 05 12 21 31 41 06 13 51 61 07 22 71 14 32 81 91 a1 08 23 42 b1 c1 15 52 d1 f0 24 33 62 72 82"
+AC_CHROMA_FIRST = "00 01 02 03 11 04 05 21 31 06 12 41 51 07 61 71 13 22 32 81 08 14 42 91 a1 b1 c1 09 23 33 52 f0 15 62 72 d1 0a 16 24 34 e1 25 f1"
+
+
+def _with_rest(first: str) -> bytes:
+    """The symbols given, then all others that a block may hold, in rising order."""
+    head = bytes.fromhex(first)
+    every = [run << 4 | size for run in range(16) for size in range(1, 11)]
+    return head + bytes(x for x in every if x not in head)
+
+
+AC_LUMA = bytes((0, 2, 1, 3, 3, 2, 4, 3, 5, 5, 4, 4, 0, 0, 1, 125)), _with_rest(AC_LUMA_FIRST)
+AC_CHROMA = bytes((0, 2, 1, 2, 4, 4, 3, 4, 7, 5, 4, 4, 0, 1, 2, 119)), _with_rest(AC_CHROMA_FIRST)
+
+
 @dataclass(frozen=True)
 class Header:
     width: int
@@ -47,8 +66,11 @@ class Header:
         return -(-self.width // (8 * h)) * -(-self.height // (8 * v))
 
 
+@lru_cache(64)
 def _lut(bits: bytes, symbols: bytes) -> np.ndarray:
     """For each 16-bit window: code length << 8 | symbol; 0 where no code begins."""
+    if len(symbols) < sum(bits):
+        raise ValueError("damaged JPEG tables")
     lut, code, at = np.zeros(65536, np.int64), 0, 0
     for n in range(1, 17):
         for _ in range(bits[n - 1]):
@@ -61,7 +83,9 @@ def _lut(bits: bytes, symbols: bytes) -> np.ndarray:
 @lru_cache(256)
 def parse_header(head: bytes) -> Header:
     """Reads all segments from SOI to the start of the entropy-coded data."""
-    quant, dc, ac, interval, frame, scan, at = {}, {}, {}, 0, None, None, 2
+    quant, interval, frame, scan, at = {}, 0, None, None, 2
+    dc = {0: _lut(*DC_LUMA), 1: _lut(*DC_CHROMA)}
+    ac = {0: _lut(*AC_LUMA), 1: _lut(*AC_CHROMA)}
     if head[:2] != b"\xff\xd8":
         raise ValueError("not a JPEG image")
     while at < len(head):
@@ -86,6 +110,8 @@ def parse_header(head: bytes) -> Header:
             interval = struct.unpack(">H", body[:2])[0]
         elif marker == 0xDA:
             scan = body
+    if frame is None or scan is None:
+        raise ValueError("no image in a frame")
     height, width, n = struct.unpack(">HHB", frame[1:6])
     parts = [frame[6 + 3 * i : 9 + 3 * i] for i in range(n)]
     tables = {scan[1 + 2 * i]: scan[2 + 2 * i] for i in range(scan[0])}

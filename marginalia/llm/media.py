@@ -9,8 +9,11 @@ Coding of the payload: a row of 192 bytes is one restart interval of four 8x8 bl
 the coefficient 256 + b at zigzag places 1 to 48, DC is 0. Rows of empty blocks fill the last frame.
 
 Defined cases: a null text is empty; an empty payload is one row of blanks; equal texts give equal
-files; rows that repeat give repeated rows; damaged media raise an error; a null medium gives null
-payload, no frames and no clips; further columns of the input are ignored.
+files; rows that repeat give repeated rows; a damaged medium, or one whose frames are not
+baseline JPEG, gives null payload, no clips and an ``error`` that says why; a null medium gives null
+payload, no frames and no clips; an empty table gives no rows; further columns of the input are
+ignored. Files without an index, with ``rec`` lists or with further RIFF parts are walked; frames
+without Huffman tables take those of the standard.
 """
 
 from __future__ import annotations
@@ -105,63 +108,69 @@ def encode(payloads: list[bytes]) -> list[bytes]:
     return out
 
 
+def _chunks(data: bytes, at: int, end: int) -> Iterator[tuple[bytes, int, int]]:
+    """Name, first byte and end of the chunks between two places."""
+    while at + 8 <= end:
+        size = struct.unpack_from("<I", data, at + 4)[0]
+        yield data[at : at + 4], at + 8, min(at + 8 + size, end)
+        at += 8 + size + (size & 1)
+
+
+def _walked(data: bytes, at: int, end: int, tags: tuple[bytes, ...]) -> Iterator[bytes]:
+    """The frames between two places, those in ``rec`` lists included."""
+    for name, a, b in _chunks(data, at, end):
+        if name == b"LIST":
+            yield from _walked(data, a + 4, b, tags)
+        elif name in tags:
+            yield data[a:b]
+
+
 def parse_avi(data: bytes) -> tuple[list[bytes], float]:
     """The frames of the first video stream, found by the index (or by walking ``movi`` where
-    there is none), and the seconds that a frame lasts."""
+    there is none, or one for the first of several parts only), and the seconds that a frame lasts."""
     if data[:4] != b"RIFF" or data[8:12] != b"AVI ":
         raise ValueError("not an AVI file")
-    seconds, movi, index, stream, streams = 1 / FPS, None, None, None, 0
-    todo = [(12, len(data))]
-    while todo:
-        at, end = todo.pop()
-        while at + 8 <= end:
-            name, size = data[at : at + 4], struct.unpack_from("<I", data, at + 4)[0]
-            if name == b"LIST":
-                kind = data[at + 8 : at + 12]
-                if kind == b"movi":
-                    movi = (at + 8, at + 8 + size)
-                elif kind in (b"hdrl", b"strl"):
-                    todo.append((at + 12, at + 8 + size))
+    seconds, movi, index, stream, streams = 1 / FPS, [], None, None, 0
+    todo = [(a + 4, b) for name, a, b in _chunks(data, 0, len(data)) if name == b"RIFF" and data[a : a + 4] in (b"AVI ", b"AVIX")]
+    for at, end in todo:
+        for name, a, b in _chunks(data, at, end):
+            if name == b"LIST" and data[a : a + 4] == b"movi":
+                movi.append((a, b))
+            elif name == b"LIST" and data[a : a + 4] in (b"hdrl", b"strl"):
+                todo.append((a + 4, b))
             elif name == b"strh":
-                if data[at + 8 : at + 12] == b"vids" and stream is None:
-                    scale, rate = struct.unpack_from("<II", data, at + 28)
-                    stream, seconds = streams, scale / rate
+                if data[a : a + 4] == b"vids" and stream is None:
+                    scale, rate = struct.unpack_from("<II", data, a + 20)
+                    stream, seconds = streams, scale / rate if rate else seconds
                 streams += 1
             elif name == b"idx1":
-                index = data[at + 8 : at + 8 + size]
-            at += 8 + size + (size & 1)
-    if movi is None:
-        return [], seconds
-    tags, frames = (b"%02ddc" % (stream or 0), b"%02ddb" % (stream or 0)), []
-    if index:
-        entries = [x for x in struct.iter_unpack("<4sIII", index[: len(index) // 16 * 16]) if x[0] in tags]
-        base = 0 if entries and data[entries[0][2] : entries[0][2] + 4] in tags else movi[0]  # offsets from the file's start, or from movi
-        for name, _, offset, size in entries:
-            at = base + offset
-            if data[at : at + 4] != name:
-                raise ValueError("damaged AVI index")
-            frames.append(data[at + 8 : at + 8 + size])
-    else:
-        at = movi[0] + 4
-        while at + 8 <= movi[1]:
-            size = struct.unpack_from("<I", data, at + 4)[0]
-            if data[at : at + 4] in tags:
-                frames.append(data[at + 8 : at + 8 + size])
-            at += 8 + size + (size & 1)
+                index = data[a:b]
+    tags = (b"%02ddc" % (stream or 0), b"%02ddb" % (stream or 0))
+    if not index or len(movi) != 1:
+        return [f for a, b in movi for f in _walked(data, a + 4, b, tags)], seconds
+    frames = []
+    entries = [x for x in struct.iter_unpack("<4sIII", index[: len(index) // 16 * 16]) if x[0] in tags]
+    base = 0 if entries and data[entries[0][2] : entries[0][2] + 4] in tags else movi[0][0]  # offsets from the file's start, or from movi
+    for name, _, offset, size in entries:
+        at = base + offset
+        if data[at : at + 4] != name:
+            raise ValueError("damaged AVI index")
+        frames.append(data[at + 8 : at + 8 + size])
     return frames, seconds
 
 
 def shots(histograms: np.ndarray, window: int = 12, factor: float = 3.0, least: float = 0.05) -> list[int]:
     """First frames of the shots. A cut lies where the difference of two histograms is over the
-    mean of the up to ``window`` differences before it plus ``factor`` deviations, and ``least``."""
+    mean of the up to ``window`` differences before it (for the first one, after it) plus
+    ``factor`` deviations, and ``least``."""
     if not len(histograms):
         return []
     total = np.maximum(histograms.sum(axis=1), 1)[:, None]
     diff = np.abs(np.diff(histograms / total, axis=0)).sum(axis=1) / 2
     firsts = [0]
     for i, d in enumerate(diff):
-        before = diff[max(0, i - window) : i]
-        if len(before) and d > max(least, before.mean() + factor * before.std()):
+        near = diff[max(0, i - window) : i] if i else diff[1 : 1 + window]
+        if d > max(least, near.mean() + factor * near.std() if len(near) else 0.0):
             firsts.append(i + 1)
     return firsts
 
@@ -191,6 +200,16 @@ def decode(files: list[bytes]) -> list[dict]:
     return out
 
 
+def decode_each(files: list[bytes]) -> list[tuple[dict | None, str | None]]:
+    """For each file what ``decode`` finds, or why it cannot be decoded."""
+    try:
+        return [(got, None) for got in decode(files)]
+    except DAMAGE as e:
+        if len(files) == 1:
+            return [(None, f"{type(e).__name__}: {e}")]
+        return [x for f in files for x in decode_each([f])]
+
+
 def payload_of(coefficients: list[np.ndarray]) -> bytes:
     """The bytes that ``encode`` put in; rows of empty blocks are not part of them."""
     if not coefficients:
@@ -227,28 +246,30 @@ def store_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string").cast("binary")).transform(in_arrow, run, "doc_id long, n_bytes long, media binary")
 
 
+DAMAGE = (ValueError, IndexError, KeyError, TypeError, struct.error, OverflowError)
 CLIPS = "array<struct<clip:int,first_frame:int,end_frame:int,start_s:double,end_s:double>>"
 
 
 def read_avi(media: DataFrame, with_payload: bool = True) -> DataFrame:
-    """Adds payload, feature and clips (timed shots, end exclusive) to (doc_id, n_bytes, media)."""
+    """Adds payload, feature, clips (timed shots, end exclusive) and error to (doc_id, n_bytes, media)."""
     clip = pa.list_(pa.struct([("clip", pa.int32()), ("first_frame", pa.int32()), ("end_frame", pa.int32()), ("start_s", pa.float64()), ("end_s", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _in_parts(batches, 2):
             files = part.column(2).to_pylist()
-            found = iter(decode([x for x in files if x is not None]))
-            payloads, features, clips = [], [], []
+            found = iter(decode_each([x for x in files if x is not None]))
+            payloads, features, clips, errors = [], [], [], []
             for x in files:
-                got = next(found) if x is not None else None
+                got, error = next(found) if x is not None else (None, None)
+                errors.append(error)
                 payloads.append(payload_of(got["coefficients"]) if got and with_payload else None)
                 features.append(feature_of(got) if got else None)
                 ends = [*got["firsts"][1:], len(got["histograms"])] if got else []
                 clips.append([(i, a, b, a * got["seconds"], b * got["seconds"]) for i, (a, b) in enumerate(zip(got["firsts"], ends))] if got else [])
             rows = [[dict(zip(("clip", "first_frame", "end_frame", "start_s", "end_s"), c)) for c in x] for x in clips]
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(payloads, pa.binary()), pa.array(features, pa.string()), pa.array(rows, clip)], ["doc_id", "n_bytes", "media", "payload", "feature", "clips"])
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(payloads, pa.binary()), pa.array(features, pa.string()), pa.array(rows, clip), pa.array(errors, pa.string())], ["doc_id", "n_bytes", "media", "payload", "feature", "clips", "error"])
 
-    return media.select("doc_id", "n_bytes", "media").transform(in_arrow, run, f"doc_id long, n_bytes long, media binary, payload binary, feature string, clips {CLIPS}")
+    return media.select("doc_id", "n_bytes", "media").transform(in_arrow, run, f"doc_id long, n_bytes long, media binary, payload binary, feature string, clips {CLIPS}, error string")
 
 
 def clip_rows(media: DataFrame) -> DataFrame:

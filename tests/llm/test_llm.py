@@ -520,6 +520,128 @@ def test_general_jpeg_and_shots():
         jpeg.decode_frames([header + b"\xff\x00" * 30 + b"\xff\xd9"])
 
 
+class Bits:
+    def __init__(self):
+        self.text = ""
+
+    def put(self, value, n):
+        self.text += format(value, f"0{n}b") if n else ""
+
+    def done(self):
+        whole = self.text + "1" * (-len(self.text) % 8)
+        return int(whole, 2).to_bytes(len(whole) // 8, "big").replace(b"\xff", b"\xff\x00")
+
+
+def huffman(bits, symbols):
+    """symbol to (code, length), counted up as the standard says."""
+    out, code, at = {}, 0, 0
+    for n, k in enumerate(bits, 1):
+        for _ in range(k):
+            out[symbols[at]] = (code, n)
+            code, at = code + 1, at + 1
+        code <<= 1
+    return out
+
+
+def foreign_frame(blocks, width, height, sampling, tables=True, interval=0):
+    """A colour JPEG frame by another encoder, symbol by symbol: ``blocks`` of (component, 64
+    coefficients) in scan order; without ``tables`` the standard ones are left out."""
+    seg = lambda m, body: bytes((255, m)) + (len(body) + 2).to_bytes(2, "big") + body
+    dc = [huffman(*jpeg.DC_LUMA), huffman(*jpeg.DC_CHROMA)]
+    ac = [huffman(*jpeg.AC_LUMA), huffman(*jpeg.AC_CHROMA)]
+    head = b"\xff\xd8" + seg(0xDB, bytes([0, *range(1, 65)])) + seg(0xDB, bytes([1, *[3] * 64]))
+    parts = len(sampling)
+    head += seg(0xC0, bytes([8]) + height.to_bytes(2, "big") + width.to_bytes(2, "big") + bytes([parts]) + b"".join(bytes([i + 1, h << 4 | v, min(i, 1)]) for i, (h, v) in enumerate(sampling)))
+    if tables:
+        for kind, table in ((0, jpeg.DC_LUMA), (1, jpeg.DC_CHROMA), (16, jpeg.AC_LUMA), (17, jpeg.AC_CHROMA)):
+            head += seg(0xC4, bytes([kind]) + table[0] + table[1])
+    if interval:
+        head += seg(0xDD, interval.to_bytes(2, "big"))
+    head += seg(0xDA, bytes([parts]) + b"".join(bytes([i + 1, min(i, 1) * 17]) for i in range(parts)) + b"\x00\x3f\x00")
+    per = sum(h * v for h, v in sampling) if parts > 1 else 1
+    body, out, last = b"", Bits(), [0] * parts
+    number = lambda v: (v if v > 0 else v + (1 << abs(v).bit_length()) - 1, abs(v).bit_length())
+    for k, (part, values) in enumerate(blocks):
+        if interval and k and k % (per * interval) == 0:
+            body += out.done() + bytes((255, 0xD0 + (k // (per * interval) - 1) % 8))
+            out, last = Bits(), [0] * parts
+        low, size = number(values[0] - last[part])
+        last[part] = values[0]
+        out.put(*dc[min(part, 1)][size])
+        out.put(low, size)
+        run = 0
+        for v in values[1:]:
+            if not v:
+                run += 1
+                continue
+            while run > 15:
+                out.put(*ac[min(part, 1)][0xF0])
+                run -= 16
+            low, size = number(v)
+            out.put(*ac[min(part, 1)][run << 4 | size])
+            out.put(low, size)
+            run = 0
+        if run:
+            out.put(*ac[min(part, 1)][0])
+    return head + body + out.done() + b"\xff\xd9"
+
+
+def test_frames_of_another_encoder():
+    """Colour, subsampling, runs of zeros, restart intervals, with tables and without."""
+    rng = random.Random(21)
+
+    def block(part):
+        values = [rng.randint(-200, 200)] + [0] * 63
+        for _ in range(rng.choice([0, 1, 5, 40])):
+            values[rng.randint(1, 63)] = rng.randint(-40, 40)
+        return part, values
+
+    for sampling, per in (([(2, 2), (1, 1), (1, 1)], [0, 0, 0, 0, 1, 2]), ([(1, 1), (1, 1), (1, 1)], [0, 1, 2]), ([(2, 1), (1, 1), (1, 1)], [0, 0, 1, 2]), ([(1, 1)], [0])):
+        h, v = max(x[0] for x in sampling), max(x[1] for x in sampling)
+        width, height = 8 * h * 3 - 5, 8 * v * 2 - 1
+        blocks = [block(p) for _ in range(6) for p in per]
+        for tables in (True, False):
+            for interval in (0, 2):
+                (header, found), = jpeg.decode_frames([foreign_frame(blocks, width, height, sampling, tables, interval)])
+                assert found.tolist() == [b[1] for b in blocks] and header.mcus == 6
+    luma = jpeg.luma(header, found)
+    x = np.arange(8)
+    basis = np.where(x == 0, np.sqrt(0.5), 1.0)[:, None] * np.cos((2 * x[None] + 1) * x[:, None] * np.pi / 16) / 2
+    for got, (_, values) in zip(luma, blocks):
+        grid = np.zeros((8, 8))
+        for k, place in enumerate(jpeg.ZIGZAG):
+            grid[place // 8, place % 8] = values[k] * (k + 1)
+        want = np.clip(basis.T @ grid @ basis + 128, 0, 255)
+        assert np.abs(got.reshape(8, 8) - want).max() <= 1.01
+
+
+def test_lists_parts_and_damage(spark):
+    """``rec`` lists without an index, a second RIFF part, and damaged files beside sound ones."""
+    payload = media.pad(b"y" * 192 * 40)
+    movie = media.encode([payload])[0]
+    frames, _ = media.parse_avi(movie)
+    chunk = lambda name, body: name + len(body).to_bytes(4, "little") + body + b"\0" * (len(body) & 1)
+    at = movie.index(b"LIST", movie.index(b"movi") - 8)
+    head = movie[12:at]
+    recs = chunk(b"LIST", b"movi" + b"".join(chunk(b"LIST", b"rec " + chunk(b"01wb", b"snd") + chunk(b"00dc", f)) for f in frames))
+    listed = chunk(b"RIFF", b"AVI " + head + recs)
+    assert media.parse_avi(listed)[0] == frames
+    two = chunk(b"RIFF", b"AVI " + head + chunk(b"LIST", b"movi" + chunk(b"00dc", frames[0])) + chunk(b"idx1", b"00dc" + bytes(4) + (4).to_bytes(4, "little") + len(frames[0]).to_bytes(4, "little")))
+    two += chunk(b"RIFF", b"AVIX" + chunk(b"LIST", b"movi" + b"".join(chunk(b"00dc", f) for f in frames[1:])))
+    assert media.parse_avi(two)[0] == frames
+    rows = [(0, 1, movie), (1, 1, b"no AVI"), (2, 1, None), (3, 1, movie.replace(b"\xff\xda", b"\xff\xc2")), (4, 1, listed), (5, 1, movie[: len(movie) // 2])]
+    got = {r.doc_id: r for r in media.read_avi(spark.createDataFrame(rows, "doc_id long, n_bytes long, media binary")).collect()}
+    assert bytes(got[0].payload) == payload == bytes(got[4].payload) and got[0].error is None and got[2].error is None
+    assert all(got[i].payload is None and got[i].error and not got[i].clips for i in (1, 3)) and len(got) == 6
+
+
+def test_first_cut_is_found():
+    assert media.shots(np.array([[100, 0], [0, 100]])) == [0, 1]
+    still = np.tile([100, 0, 0, 0], (20, 1))
+    still[0] = [0, 0, 100, 0]
+    assert media.shots(still) == [0, 1] and media.shots(still[1:]) == [0] and media.shots(still[:0]) == []
+
+
 def test_words():
     data = "a  bc\tÄé\x0bd\n a".encode()
     starts, ends = words.word_bounds(data)
