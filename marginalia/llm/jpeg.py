@@ -189,25 +189,30 @@ def decode_lanes(header: Header, lanes: list[bytes], mcus: np.ndarray) -> np.nda
 def decode_frames(frames: list[bytes]) -> list[tuple[Header, np.ndarray]]:
     """For each image its header and its coefficients as (block, 64), blocks in scan order."""
     split = [split_frame(x) for x in frames]
-    groups: dict[int, list[int]] = {}
-    for i, (header, _) in enumerate(split):
-        groups.setdefault(id(header), []).append(i)
+    groups: dict[tuple, list[int]] = {}
+    for i, (header, _) in enumerate(split):  # frames that differ in their number of lanes only are decoded together
+        groups.setdefault((header.interval or header.mcus, header.blocks, header.sampling, *map(id, header.dc), *map(id, header.ac)), []).append(i)
     out: list = [None] * len(frames)
     for members in groups.values():
-        header = split[members[0]][0]
-        per_lane, at = header.interval or header.mcus, 0
+        at = 0
         while at < len(members):
             some, n = [], 0
             while at < len(members) and (not some or n + len(split[members[at]][1]) <= LANES):
                 n += len(split[members[at]][1])
                 some.append(members[at])
                 at += 1
-            lanes = [x for i in some for x in split[i][1]]
-            mcus = np.concatenate([np.minimum(per_lane, header.mcus - per_lane * np.arange(len(split[i][1]))) for i in some])
-            got, begin = decode_lanes(header, lanes, mcus), 0
+            lanes, mcus = [], []
             for i in some:
-                k = len(split[i][1])
-                out[i] = (header, got[begin : begin + k].reshape(-1, 64)[: header.mcus * len(header.blocks)])
+                header, own = split[i]
+                per_lane = header.interval or header.mcus
+                lanes += own
+                mcus.append(np.clip(header.mcus - per_lane * np.arange(len(own)), 0, per_lane))
+            got, begin = decode_lanes(split[some[0]][0], lanes, np.concatenate(mcus)), 0
+            for i in some:
+                header, k = split[i][0], len(split[i][1])
+                per_lane = min(header.interval or header.mcus, got.shape[1] // len(header.blocks))
+                own = got[begin : begin + k, : per_lane * len(header.blocks)]
+                out[i] = (header, own.reshape(-1, 64)[: header.mcus * len(header.blocks)])
                 begin += k
     return out
 
