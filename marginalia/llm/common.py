@@ -5,8 +5,6 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,8 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..scratch import cut, drop
+
 BATCH_ROWS = 2000
-UNKNOWN_BYTES = 1 << 60  # what Catalyst says of rows that lie in memory
+
+
+__all__ = ["buckets", "cut", "drop", "in_arrow", "most_frequent", "release", "table", "tidy"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,38 +26,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share.
-
-    The cluster names it in ``spark.checkpoint.dir``; only where that is unset (tests on one
-    machine) a temporary folder takes its place.
-    """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="marginalia-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path
-
-
-def cut(df: DataFrame, name: str = "cut") -> DataFrame:
-    """``df`` written as a table in the shared folder and read again: the lineage ends here, so a
-    lost executor costs a reread and not a recomputation."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/marginalia-{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._cut_path = path
-    return out
-
-
-def drop(*tables: DataFrame) -> None:
-    """Deletes tables that ``cut`` wrote and that no later step reads."""
-    for df in tables:
-        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
-        path = jvm.org.apache.hadoop.fs.Path(df._cut_path)
-        path.getFileSystem(conf).delete(path, True)
-
-
 def most_frequent(counts: DataFrame, limit: int) -> tuple[np.ndarray, np.ndarray]:
     """Keys (as unsigned) and counts of the most frequent keys of (key long, n long): all whose
     count has at least as many bits as lets no more than ``limit`` of them through."""
@@ -72,17 +42,12 @@ def most_frequent(counts: DataFrame, limit: int) -> tuple[np.ndarray, np.ndarray
     return top["key"].to_numpy().astype(np.int64).view(np.uint64), top["n"].to_numpy().astype(np.int64)
 
 
-def input_bytes(df: DataFrame) -> int:
-    """Catalyst's own estimate of the size of ``df``; it sizes bucket counts, never results."""
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size))
-
-
-def buckets(df: DataFrame, bytes_per_bucket: int) -> int:
-    """Bucket count for a shuffle over ``df``: by its size, at least the session's partitions."""
-    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    size = input_bytes(df)
-    return max(least, -(-size // bytes_per_bucket)) if size < UNKNOWN_BYTES else least
+def buckets(docs: DataFrame, text_col: str, bytes_per_bucket: int) -> int:
+    """Bucket count for a shuffle over texts: by their bytes, which are summed up in one pass over
+    that column, at least the session's partitions. It changes no result."""
+    least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
+    return max(least, -(-int(size) // bytes_per_bucket))
 
 
 def release(spark: SparkSession) -> None:
@@ -99,8 +64,13 @@ def tidy() -> None:
 
 
 def in_arrow(df: DataFrame, run, schema: str | StructType) -> DataFrame:
-    """``df.mapInArrow`` for long rows: batches of few rows, and memory given back after a task."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    """``df.mapInArrow`` for long rows: memory is given back after a task, and batches hold at most
+    BATCH_ROWS rows. Spark knows that bound as a setting of the session only: it is lowered to
+    BATCH_ROWS here, never raised."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(conf.get(name))
+    if now <= 0 or now > BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:

@@ -14,12 +14,14 @@ Copies (equal sets) are one node. Documents that share a part are first compared
 only. Where they are still in different components, the sketches of all members are compared
 between components, and of each two components the nearest pairs that may link are verified, more
 in each round, until every pair that shares a part is in one component, ruled out by its
-sketches, or verified. Nothing is capped.
+sketches, or verified. Nothing is capped. Groups are cut into blocks by their size, and each two
+blocks meet in a task of their own, so a passage that very many documents share, linked or not, is
+spread over tasks however its documents fall into components.
 
 Defined cases: null texts and texts without words are empty sets, linked with nothing, component
-their own id; fewer than 5 words are one shingle; rows that share a doc_id are one node; a null
-doc_id takes the component of its copies and is null without them; an empty table gives no rows;
-further columns are ignored.
+their own id; fewer than 5 words are one shingle; rows that share a doc_id are one node, also with
+different texts, and have one component; a null doc_id takes the component of its copies and is
+null without them; an empty table gives no rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import buckets, cut, drop, in_arrow, most_frequent, release, table
@@ -41,9 +43,10 @@ FLUSH = 500_000
 SPARSE_PARTS = 1 << 20
 SKETCH_BITS = 1 << 24
 CHUNK = 256
-SPLIT = 8192
+SPLIT = 4096  # rows of a block
 SALT_BITS = 22
 PAIRS = 256  # of two components in the first round
+WITHIN = 2  # the side of rows whose pairs within a block are compared
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, np.ndarray]]:
@@ -257,8 +260,10 @@ def _verify_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        got = list(_texts(iter([batch])))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for _, s in got], pa.binary())], ["id", "s"])
+        got = [s for _, s in _texts(iter([batch]))]
+        c, d = zip(*map(_fingerprint, got)) if got else ((), ())
+        columns = [pa.array([len(s) for s in got], pa.int64()), pa.array(c, pa.int64()), pa.array(d, pa.int64()), pa.array([s.tobytes() for s in got], pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["n", "c", "d", "s"])
 
 
 def _near_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,13 +275,21 @@ def _near_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
+def _class() -> Column:
+    """The id of a set, from its size and fingerprint."""
+    return F.xxhash64("n", "c", "d")
+
+
 def verify(docs: DataFrame, pairs: DataFrame, reps: DataFrame) -> DataFrame:
-    """(a, b, linked) for pairs of ids that their sketches do not rule out, on the whole sets."""
+    """(a, b, linked) for pairs of classes that their sketches do not rule out, on the whole sets."""
     side = lambda x: reps.select(F.col("rep").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"k{x}"))
     near = cut(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "ka", "kb").transform(in_arrow, _near_rows, "a long, b long"), "near")
-    ids = cut(near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct(), "ids")
-    sets = cut(docs.join(ids, "doc_id", "left_semi").transform(in_arrow, _set_rows, "id long, s binary"), "sets")
-    joined = near.join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b").join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a")
+    if near.isEmpty():
+        return near.withColumn("linked", F.lit(False))
+    ids = cut(near.select(F.col("a").alias("rep")).union(near.select("b")).distinct().join(reps.select("rep", "doc_id"), "rep"), "ids")
+    sets = docs.join(ids.select("doc_id").distinct(), "doc_id", "left_semi").transform(in_arrow, _set_rows, "n long, c long, d long, s binary")
+    sets = cut(sets.select(_class().alias("rep"), "s").dropDuplicates(["rep"]), "sets")
+    joined = near.join(sets.select(F.col("rep").alias("b"), F.col("s").alias("sb")), "b").join(sets.select(F.col("rep").alias("a"), F.col("s").alias("sa")), "a")
     checked = cut(joined.select("a", "b", "sa", "sb").transform(in_arrow, _verify_rows, "a long, b long, linked boolean"), "checked")
     drop(near, ids, sets)
     del joined
@@ -285,12 +298,13 @@ def verify(docs: DataFrame, pairs: DataFrame, reps: DataFrame) -> DataFrame:
 
 
 def _near_pairs(rows: list[tuple]) -> list[tuple[int, int, int]]:
-    """(distance, i, j) of rows in different components that sizes and sketches let through; all
-    sketches of one length are compared in NumPy, block by block."""
+    """(distance, i, j) of rows (rep, component, size, sketch, side) in different components, and of
+    different sides where they have one, that sizes and sketches let through; all sketches of one
+    length are compared in NumPy, block by block."""
     by: dict[int, list[int]] = {}
     for i, r in enumerate(rows):
         by.setdefault(len(r[3]), []).append(i)
-    comp, size = np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
+    comp, size, side = (np.array([r[k] for r in rows]) for k in (1, 2, 4))
     table = {k: (np.array(v), np.frombuffer(b"".join(rows[i][3] for i in v), np.uint64).reshape(len(v), -1)) for k, v in by.items()}
     out = []
     for k, (mine, x) in table.items():
@@ -306,6 +320,7 @@ def _near_pairs(rows: list[tuple]) -> list[tuple[int, int, int]]:
                 i = mine[at : at + step]
                 n, m = size[i][:, None], size[other][None]
                 may = (comp[i][:, None] != comp[other][None]) & (100 * np.minimum(n, m) >= 75 * np.maximum(n, m))
+                may &= (side[i][:, None] != side[other][None]) | (side[i][:, None] == WITHIN)
                 if wide == k:
                     may &= i[:, None] < other[None]
                 u, v = np.nonzero(may)
@@ -319,7 +334,7 @@ def _near_pairs(rows: list[tuple]) -> list[tuple[int, int, int]]:
 
 def _cross_rows(most: int):
     """Rows come sorted by part, then sketches and tried pairs (key null), then members by key and
-    salt. Of each two components of a group up to ``most`` pairs that are not tried and that sizes
+    cell. Of each two components of a cell up to ``most`` pairs that are not tried and that sizes
     and sketches let through, those of the least distance first; nulls where there were more."""
 
     def close(rows: list[tuple], tried: set) -> list[tuple]:
@@ -337,15 +352,15 @@ def _cross_rows(most: int):
         part, now, sketches, tried, rows = None, None, {}, set(), []
         for batch in batches:
             out: list[tuple] = []
-            for at, key, salt, rep, c, n, x, other in zip(*(col.to_pylist() for col in batch.columns)):
-                if (at, key, salt) != (part, *(now or (None, None))):
+            for at, key, cell, rep, c, side, n, x, other in zip(*(col.to_pylist() for col in batch.columns)):
+                if (at, key, cell) != (part, *(now or (None, None))):
                     out += close(rows, tried)
                     rows = []
                     if at != part:
                         part, sketches, tried = at, {}, set()
-                    now = (key, salt)
+                    now = (key, cell)
                 if key is not None:
-                    rows.append((rep, c, *sketches[rep]))
+                    rows.append((rep, c, *sketches[rep], side))
                 elif other is None:
                     sketches[rep] = (n, x)
                 else:
@@ -361,24 +376,41 @@ def _two(pairs: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64())], ["a", "b"])
 
 
+def _cells() -> Column:
+    """The cells (cell, side) of a member: a group's largest component is cut into ``wide`` blocks,
+    all others together into ``high`` ones. Each block of the one meets each of the others, and of
+    the others each two blocks and each block itself."""
+    wide, high = F.col("wide"), F.col("high")
+    entry = lambda cell, side: F.struct(cell.cast("bigint").alias("cell"), side.cast("int").alias("side"))
+    block = lambda n: F.pmod(F.xxhash64("rep"), n)
+    upto = lambda n: F.sequence(F.lit(0).cast("bigint"), n - 1)
+    j = block(high)
+    large = F.transform(upto(high), lambda t: entry(block(wide) * high + t, F.lit(0)))
+    facing = F.transform(upto(wide), lambda t: entry(t * high + j, F.lit(1)))
+    among = F.transform(upto(high), lambda t: entry(wide * high + F.least(j, t) * high + F.greatest(j, t), F.when(t == j, WITHIN).when(j < t, 0).otherwise(1)))
+    return F.when(F.col("c") == F.col("big"), large).otherwise(F.concat(facing, among))
+
+
 def _between(members: DataFrame, reps: DataFrame, tried: DataFrame, parts: int, most: int) -> DataFrame:
-    """Untried pairs (a, b) between components of (key, rep, c). A group's largest component is
-    spread over several salts, the others go to each of them. Groups with the same least member go
-    to one part, to which a sketch travels once, or to as many as their rows need."""
+    """Untried pairs (a, b) between components of (key, rep, c). Groups are cut into cells of two
+    blocks. Cells with the same place of groups with the same least member go to one part, to which
+    a sketch travels once, or to as many as their rows need."""
     sizes = members.groupBy("key", "c").agg(F.count(F.lit(1)).alias("k"), F.min("rep").alias("least"))
-    largest = sizes.groupBy("key").agg(F.max_by("c", F.struct("k", "c")).alias("big"), F.ceil(F.max("k") / SPLIT).cast("int").alias("salts"), F.min("least").alias("least"), F.sum("k").alias("size"))
-    spread = largest.groupBy("least").agg(F.ceil(F.sum("size") / SPLIT).alias("spread"))
-    largest = largest.join(spread, "least")
-    salts = F.when(F.col("c") == F.col("big"), F.array(F.pmod(F.xxhash64("rep"), F.col("salts")).cast("int"))).otherwise(F.sequence(F.lit(0), F.col("salts") - 1))
-    rows = members.join(largest, "key").withColumn("salt", F.explode(salts))
-    rows = cut(rows.select(F.pmod(F.xxhash64("least", "salt", F.pmod(F.xxhash64("key"), F.col("spread"))), F.lit(16 * parts)).cast("int").alias("part"), "key", "salt", "rep", "c"), "dealt")
+    blocks = lambda n: F.greatest(F.lit(1), F.ceil(n / SPLIT)).cast("bigint")
+    groups = sizes.groupBy("key").agg(F.max_by("c", F.struct("k", "c")).alias("big"), F.max("k").alias("most"), F.min("least").alias("least"), F.sum("k").alias("size"))
+    groups = groups.withColumns({"wide": blocks(F.col("most")), "high": blocks(F.col("size") - F.col("most"))})
+    spread = groups.groupBy("least").agg(F.ceil(F.sum("size") / SPLIT).alias("spread"))
+    groups = groups.join(spread, "least")
+    rows = members.join(groups, "key").withColumn("x", F.explode(_cells())).select("*", "x.cell", "x.side")
+    rows = cut(rows.select(F.pmod(F.xxhash64("least", "cell", F.pmod(F.xxhash64("key"), F.col("spread"))), F.lit(16 * parts)).cast("int").alias("part"), "key", "cell", "rep", "c", "side"), "dealt")
     here = cut(rows.select("part", "rep").distinct(), "here")
-    typed = lambda df, **more: df.select("part", *[more.get(c, F.lit(None)).cast(t).alias(c) for c, t in (("key", "bigint"), ("salt", "int"), ("rep", "bigint"), ("c", "bigint"), ("n", "bigint"), ("sketch", "binary"), ("other", "bigint"))])
+    columns = (("key", "bigint"), ("cell", "bigint"), ("rep", "bigint"), ("c", "bigint"), ("side", "int"), ("n", "bigint"), ("sketch", "binary"), ("other", "bigint"))
+    typed = lambda df, **more: df.select("part", *[more.get(c, F.lit(None)).cast(t).alias(c) for c, t in columns])
     col = F.col
     sketches = typed(here.join(reps, "rep"), rep=col("rep"), n=col("n"), sketch=col("sketch"))
     known = typed(here.join(tried, col("rep") == col("a")), rep=col("a"), other=col("b"))
-    groups = typed(rows, key=col("key"), salt=col("salt"), rep=col("rep"), c=col("c"))
-    dealt = sketches.unionByName(known).unionByName(groups).repartition(parts, "part").sortWithinPartitions("part", "key", "salt")
+    placed = typed(rows, key=col("key"), cell=col("cell"), rep=col("rep"), c=col("c"), side=col("side"))
+    dealt = sketches.unionByName(known).unionByName(placed).repartition(parts, "part").sortWithinPartitions("part", "key", "cell")
     return dealt.transform(in_arrow, _cross_rows(most), "a long, b long").distinct()
 
 
@@ -389,19 +421,20 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salt_bits: int = SALT_BITS) -> DataFrame:
     """doc_id, n_shingles, component_id of every row. ``salt_bits`` sets from which count on a
     signature is split over tasks; it changes no result."""
-    spark, parts, spread = docs.sparkSession, buckets(docs, 16 << 20), 1
+    spark, spread = docs.sparkSession, 1
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text"))
+    parts = buckets(docs, "text", 32 << 20)
     profile = cut(docs.transform(in_arrow, _profile, "hot boolean, a long, b long, c long, d long, sketch binary"), "profile")
     counts = profile.where("hot").groupBy(F.col("a").alias("key")).agg(F.sum("b").alias("n"))
     hot = Frequent(*most_frequent(counts, HOT_KEYS))
 
     rows = profile.where("NOT hot").select(F.col("a").alias("doc_id"), F.col("b").alias("n"), "c", "d", "sketch")
-    classes = rows.where("n > 0").groupBy("n", "c", "d").agg(F.min("doc_id").alias("rep"), F.min("sketch").alias("sketch"))
-    classes = cut(classes, "classes")
-    nodes = rows.select("doc_id", "n", "c", "d").join(classes.select("n", "c", "d", "rep"), ["n", "c", "d"], "left")
-    nodes = cut(nodes.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("rep")).otherwise(F.col("doc_id")).alias("rep")), "nodes")
+    sized = rows.where("n > 0").select("doc_id", "n", _class().alias("rep"), "sketch")
+    reps = cut(sized.groupBy("rep", "n").agg(F.min("doc_id").alias("doc_id"), F.min("sketch").alias("sketch")).where("doc_id IS NOT NULL"), "classes")
+    nodes = cut(rows.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, _class()).alias("rep")), "nodes")
     named = nodes.where("doc_id IS NOT NULL AND n_shingles > 0").select("doc_id", "rep", F.col("n_shingles").alias("n")).distinct()
-    reps = classes.where("rep IS NOT NULL").select("rep", "n", "sketch")
+    twice = named.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a <> z")
+    same_id = cut(named.join(twice, "doc_id").where("rep <> a").select("a", F.col("rep").alias("b")).distinct(), "same")
 
     while True:
         blobs = docs.transform(in_arrow, _signature_blobs(hot, 4 * parts, spread, salt_bits), "bucket int, salted boolean, sigs binary, ids binary")
@@ -420,7 +453,8 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salt_b
     shared = cut(shared.join(named.select("doc_id", "rep"), "doc_id").select("key", "rep").distinct(), "shared")
     drop(met)
     checked, tried = verify(docs, pairs, reps), pairs
-    labels = cut(components(checked.where("linked")), "labels")
+    edges = lambda: checked.where("linked").select("a", "b").unionByName(same_id)
+    labels = cut(components(edges()), "labels")
 
     most, more = PAIRS, True
     while more:
@@ -431,9 +465,11 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salt_b
         latest = verify(docs, fresh, reps)
         tried, checked, most = tried.unionByName(fresh), checked.unionByName(latest), 8 * most
         if not latest.where("linked").isEmpty():
-            labels = cut(components(checked.where("linked")), "labels")
-    found = nodes.join(labels, F.col("rep") == F.col("node"), "left")
-    return found.select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
+            labels = cut(components(edges()), "labels")
+    found = nodes.where("rep IS NOT NULL").join(labels, F.col("rep") == F.col("node"), "left").select("rep", "doc_id", "n_shingles", F.coalesce("component", "rep").alias("c"))
+    least = found.groupBy("c").agg(F.min("doc_id").alias("component_id"))
+    empty = nodes.where("rep IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    return found.join(least, "c").select("doc_id", "n_shingles", "component_id").unionByName(empty)
 
 
 def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

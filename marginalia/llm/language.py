@@ -104,13 +104,13 @@ def _chunks(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa
 def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "lang", sample: int = SAMPLE, id_col: str = "doc_id") -> tuple[list[str], np.ndarray]:
     """Languages in sorted order and their integer prototypes.
 
-    Rows are chosen by a hash of the id so that about ``sample`` take part; that bound holds for
-    the classifier only.
+    Rows are chosen by a hash of id and text so that about ``sample`` take part (rows that repeat
+    share a draw); that bound holds for the classifier only, and only sums leave a task.
     """
     labelled = labelled.where(F.col(label_col).isNotNull())
     n = labelled.count()
     share = 1 << 30 if n <= sample else (sample << 30) // n
-    some = labelled.where(F.pmod(F.xxhash64(id_col), F.lit(1 << 30)) < share).select(F.col(label_col).cast("string"), F.col(text_col).cast("string"))
+    some = labelled.where(F.pmod(F.xxhash64(id_col, text_col), F.lit(1 << 30)) < share).select(F.col(label_col).cast("string"), F.col(text_col).cast("string"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}

@@ -10,6 +10,8 @@ The order of minimisers puts runs that are frequent in the corpus last, so windo
 common passage are dealt by a rare run and those inside it pack into the same strings in all
 documents. A task ships equal strings once and reports all but the earliest of them itself, so a
 common passage costs a bucket one string for each flush of a task and not one for each document.
+Where even the rarest run of a window is very frequent, its bucket is split: such windows travel one
+by one and are dealt by their own hash, too, over as many buckets as the run's count asks for.
 
 Defined cases: a null or empty text has no words; documents under ``WINDOW`` words lose nothing; a
 null doc_id comes before all others; rows with equal doc_id and text get the same result, and of
@@ -33,7 +35,8 @@ from .words import SECOND, Frequent, chunks, mix, runs, word_bounds, word_hashes
 
 WINDOW, MINI = 20, 3
 FLUSH_BYTES = 16 << 20
-HOT_KEYS, HOT_BLOCK, HOT_LEAST = 65_536, 1_000_000, 8
+HOT_KEYS, HOT_BLOCK, HOT_LEAST = 262_144, 1_000_000, 8
+SPLIT_BITS = 16  # windows whose minimiser occurs 2**SPLIT_BITS times or more are dealt one by one
 NO_ID = -(1 << 63)
 REMOVED = "doc_id long, sum long, first long, end long"
 
@@ -95,7 +98,7 @@ def _merge(gone: list[tuple]) -> np.ndarray:
     return out
 
 
-def _pack(hot: Frequent, n_buckets: int):
+def _pack(hot: Frequent, n_buckets: int, split_bits: int = SPLIT_BITS):
     """Rows (bucket, removed, data): packed strings of a bucket, or intervals known to go."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,6 +131,15 @@ def _pack(hot: Frequent, n_buckets: int):
 
         for chunk in chunks(batches):
             begin, end, least, owner = super_k_mers(chunk.hashes, chunk.first, hot)
+            bits = (least >> np.uint64(58)).astype(np.int64)
+            if (bits > split_bits).any():
+                n = np.where(bits > split_bits, end - begin, 1)
+                whole = np.repeat(bits <= split_bits, n)
+                begin = np.repeat(begin, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                end = np.where(whole, np.repeat(end, n), begin + 1)
+                least, owner, bits = np.repeat(least, n), np.repeat(owner, n), np.repeat(bits, n)
+                ways = (np.uint64(1) << np.maximum(bits - split_bits, 0).astype(np.uint64)) - np.uint64(1)
+                least = np.where(whole, least, mix(least, 6) + (mix(runs(chunk.hashes, WINDOW)[begin], 7) & ways))
             where = (mix(least, 5) >> np.uint64(1)).astype(np.int64) % n_buckets
             lo, hi = chunk.starts[begin].tolist(), chunk.ends[end + WINDOW - 2].tolist()
             place, words = (begin - chunk.first[owner]).tolist(), (end - begin + WINDOW - 1).tolist()
@@ -222,22 +234,23 @@ def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.string())], ["doc_id", "n_words", "n_removed", "kept"])
 
 
-def removed_intervals(docs: DataFrame, parts: int) -> DataFrame:
-    """doc_id (NO_ID for null), checksum of the text, and an interval of words that go."""
+def removed_intervals(docs: DataFrame, parts: int, split_bits: int = SPLIT_BITS) -> DataFrame:
+    """doc_id (NO_ID for null), checksum of the text, and an interval of words that go.
+    ``split_bits`` sets from which count on a minimiser's windows are split; it changes no result."""
     spark = docs.sparkSession
     counts = docs.transform(in_arrow, _frequent, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
     hot = Frequent(*most_frequent(counts, HOT_KEYS))
-    packed = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "text").transform(in_arrow, _pack(hot, 4 * parts), "bucket int, removed boolean, data binary")
+    packed = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "text").transform(in_arrow, _pack(hot, 4 * parts, split_bits), "bucket int, removed boolean, data binary")
     gone = cut(packed.repartition(parts, "bucket").sortWithinPartitions("bucket").transform(in_arrow, _count, REMOVED), "gone")
     del packed
     release(spark)
     return gone
 
 
-def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", split_bits: int = SPLIT_BITS) -> DataFrame:
     """doc_id, n_words, n_removed, kept: the words that stay, joined by one blank."""
     whole = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text"))
-    spans = removed_intervals(whole, buckets(docs, 8 << 20)).groupBy(F.col("doc_id").alias("id"), F.col("sum")).agg(F.collect_list(F.struct("first", "end")).alias("spans"))
+    spans = removed_intervals(whole, buckets(whole, "text", 16 << 20), split_bits).groupBy(F.col("doc_id").alias("id"), F.col("sum")).agg(F.collect_list(F.struct("first", "end")).alias("spans"))
     here = whole.withColumns({"id": F.coalesce("doc_id", F.lit(NO_ID)), "sum": F.coalesce(F.crc32("text"), F.lit(0))})
     joined = here.join(spans, ["id", "sum"], "left").select("doc_id", "text", "spans")
     return joined.transform(in_arrow, _keep, "doc_id long, n_words long, n_removed long, kept string")

@@ -145,6 +145,41 @@ def test_jaccard(spark, docs, monkeypatch):
     assert jaccard.link(docs(ROWS).limit(0)).count() == 0
 
 
+def test_one_id_with_two_texts(spark, docs):
+    """Such rows are one node: it joins what either text joins, also as the smallest of its copies."""
+    rng = random.Random(31)
+    a, b, c = (prose(rng, 80) for _ in range(3))
+    near = lambda t: " ".join(["x", *t.split()[1:]])
+    rows = [(5, a), (5, b), (3, near(a)), (9, near(b)), (9, c), (12, near(c)), (20, prose(rng, 80)), (5, a), (30, b)]
+    got = {(r.doc_id, r.component_id) for r in jaccard.link(docs(rows)).collect()}
+    assert got == {(i, 3) for i in (3, 5, 9, 12, 30)} | {(20, 20)}
+
+
+def test_many_unlinked_documents_with_one_passage(spark, monkeypatch):
+    """A passage that all documents share at just under the threshold: nothing links but the
+    planted pairs, and the group is spread over cells."""
+    monkeypatch.setattr(jaccard, "SPLIT", 500)
+    rng = random.Random(32)
+    passage = prose(rng, 75)
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(15)) + " " + passage) for i in range(1500)]
+    rows += [(10_000 + i, rows[i][1] + " end") for i in range(0, 1500, 100)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard.link(table, salt_bits=6).collect()}
+    assert all(got[i] == (i - 10_000 if i >= 10_000 else i) for i in got) and len(got) == len(rows)
+
+
+def test_cells_cover_all_pairs(spark, monkeypatch):
+    """Any two members of different components meet in exactly one cell."""
+    monkeypatch.setattr(jaccard, "SPLIT", 3)
+    rows = [(i, 1 if i < 10 else i) for i in range(20)]
+    table = spark.createDataFrame(rows, "rep long, c long").selectExpr("*", "1L AS big", "4L AS wide", "4L AS high")
+    cells = {}
+    for r in table.select("rep", "c", F.explode(jaccard._cells()).alias("x")).collect():
+        cells.setdefault(r.x.cell, []).append((r.rep, r.c, r.x.side))
+    met = Counter(frozenset((a[0], b[0])) for own in cells.values() for a, b in combinations(own, 2) if a[1] != b[1] and (a[2] != b[2] or a[2] == jaccard.WITHIN))
+    assert met == Counter(frozenset((a, b)) for (a, c), (b, d) in combinations(rows, 2) if c != d)
+
+
 def test_sketch_bounds_difference():
     rng = np.random.default_rng(1)
     for n in (3, 40, 700):
@@ -218,6 +253,7 @@ def brute_repeats(rows, window=20):
 def test_repeats(spark, docs):
     got = repeats.drop_repeats(docs(ROWS)).collect()
     assert Counter(tuple(r) for r in got) == brute_repeats(ROWS)
+    assert Counter(tuple(r) for r in repeats.drop_repeats(docs(ROWS), split_bits=2).collect()) == brute_repeats(ROWS)
     assert repeats.drop_repeats(docs(ROWS).limit(0)).count() == 0
 
 
