@@ -13,25 +13,29 @@ from marginalia.llm import jaccard, language, mixing, packing, secrets
 from marginalia.llm.common import cut, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-MIN_LANGUAGE_SCORE = 0.02  # under it a text is like none of the learned languages
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts without a letter and texts that resemble no learned language. Single short
-    words may share nothing with any profile; they stay."""
+    """Drops what language ID rejects: ``und``, which is a null text or one without a letter, and
+    texts whose vector shares nothing with any language (score 0)."""
     docs = docs.select(*COLUMNS)
     labels, protos = language.fit(docs)
     found = language.identify(docs, labels, protos)
-    reject = (F.col("lang_pred") == "und") | (F.col("score") < MIN_LANGUAGE_SCORE) & (F.length("text") >= 40)
-    return found.where(~F.coalesce(reject, F.lit(False))).select(*docs.columns)
+    return found.where((F.col("lang_pred") != "und") & (F.col("score") > 0)).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest doc_id of each component; rows without a doc_id pass."""
-    docs = docs.select(*COLUMNS)
-    first = cut(jaccard.link(docs).where("component_id = doc_id").select("doc_id").distinct(), "first")
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+    """Keeps one row of each component: that with the smallest doc_id (null last), and of rows with
+    one id that with the smallest text. Rows are told apart by a hash of id and text, so rows that
+    share an id only are judged each by its own text, rows without an id by theirs, and rows that
+    are equal in both are one, of which the first in order of the other columns stays."""
+    docs = docs.select(*COLUMNS).withColumn("key", F.xxhash64("doc_id", "text"))
+    linked = jaccard.link(docs, id_col="key").select(F.col("doc_id").alias("key"), "component_id").distinct()
+    rank = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", F.xxhash64("text").alias("tie"), "key")
+    first = docs.select("key", "doc_id", "text").join(linked, "key").groupBy("component_id").agg(F.min(rank).alias("x"))
+    kept = cut(first.select("x.key"), "first")
+    chosen = docs.join(kept, "key", "left_semi")
+    return chosen.groupBy("key").agg(F.min(F.struct(*COLUMNS)).alias("x")).select("x.*")
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
