@@ -47,7 +47,7 @@ def test_pipeline_by_hand(spark, tmp_path):
     kept = [corpus_pipeline.STAGES[0][1](spark, docs, folder)]
     before = docs.select(*corpus_pipeline.COLUMNS)
     labels, protos = language.fit(before)
-    want = [r for r in language.identify(before, labels, protos).collect() if r.lang_pred != "und" and (r.score >= corpus_pipeline.MIN_LANGUAGE_SCORE or len(r.text) < 40)]
+    want = [r for r in language.identify(before, labels, protos).collect() if r.lang_pred != "und" and r.score > 0]
     rows = kept[0].collect()
     assert sorted(map(str, (r[:5] for r in rows))) == sorted(str(tuple(r)[:5]) for r in want)
     assert not {10_001, 10_002, 10_003} & {r.doc_id for r in rows} and len(rows) >= 200
@@ -75,6 +75,16 @@ def test_pipeline_by_hand(spark, tmp_path):
     assert pieces.agg(F.sum("length")).first()[0] == total
 
 
+def test_rows_that_share_an_id(spark):
+    """Each text is judged by itself: of one id the copy goes and the other text stays; rows without
+    an id are deduplicated, too; rows that repeat are one."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(3, a), (5, a), (5, b), (7, b + " end"), (None, a), (None, c), (None, c), (9, None), (9, None), (8, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, FOLDER).collect()]
+    assert sorted(got, key=str) == sorted([(3, a), (5, b), (None, c), (9, None), (8, "")], key=str)
+
+
 def test_run(spark):
     out = corpus_pipeline.run(spark, FOLDER)
     assert out.count() > 0 and {"doc_id", "start", "length", "ids", "sequence_id", "offset"} <= set(out.columns)
