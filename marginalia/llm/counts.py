@@ -12,13 +12,16 @@ that repeat are documents of their own; an empty table gives no rows; further co
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from .common import cut, in_arrow, table
 from .tokens import word_ids
@@ -26,6 +29,7 @@ from .tokens import word_ids
 SEPARATOR = 49407
 BLOCK_TOKENS = 1 << 17
 DTYPE = "<u2"
+RANGE_BYTES = 64 << 20  # of a file that a task reads
 
 
 def token_files(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, separator: int = SEPARATOR, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
@@ -57,18 +61,49 @@ def token_files(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string").cast("binary")).transform(in_arrow, run, "file long, block long, ids binary, doc_ids array<long>")
 
 
-def read_token_files(spark: SparkSession, path: str, block_bytes: int = 2 * BLOCK_TOKENS) -> DataFrame:
-    """Blocks (file, block, ids) of binary token files in any folder that Spark can read; ``file``
-    is the path. A file must fit a row; larger ones are to be stored as several shards."""
+class TokenFiles(DataSource):
+    """Flat token files by ranges of bytes: a task reads one range of one file, in blocks, so a file
+    may be of any length. Paths are what pyarrow.fs reads (local folders, s3, gs, hdfs, abfs)."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "token_files"
+
+    def schema(self) -> str:
+        return "file string, block long, ids binary"
+
+    def reader(self, schema) -> DataSourceReader:
+        return TokenFileReader(self.options)
+
+
+class TokenFileReader(DataSourceReader):
+    def __init__(self, options) -> None:
+        self.path = options["path"]
+        self.block = int(options.get("block_bytes", 2 * BLOCK_TOKENS))
+        self.step = max(1, int(options.get("range_bytes", RANGE_BYTES)) // self.block) * self.block
+
+    def partitions(self) -> list[InputPartition]:
+        files, root = fs.FileSystem.from_uri(self.path)
+        info = files.get_file_info(root)
+        every = [info] if info.type == fs.FileType.File else files.get_file_info(fs.FileSelector(root))
+        kept = sorted((x.path, x.size) for x in every if x.type == fs.FileType.File and not x.base_name.startswith(("_", ".")))
+        return [InputPartition((path, at, min(self.step, size - at))) for path, size in kept for at in range(0, size, self.step)]
+
+    def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
+        path, start, length = partition.value
+        files, _ = fs.FileSystem.from_uri(self.path)
+        with files.open_input_file(path) as data:
+            for at in range(start, start + length, self.block):
+                got = data.read_at(min(self.block, start + length - at), at)
+                yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([at // self.block], pa.int64()), pa.array([got], pa.binary())], ["file", "block", "ids"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for path, content in zip(batch.column(0).to_pylist(), batch.column(1)):
-                data = content.as_buffer()
-                for k, at in enumerate(range(0, data.size, block_bytes)):
-                    yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([k], pa.int64()), pa.array([data.slice(at, min(block_bytes, data.size - at)).to_pybytes()], pa.binary())], ["file", "block", "ids"])
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").transform(in_arrow, run, "file string, block long, ids binary")
+def read_token_files(spark: SparkSession, path: str, block_bytes: int = 2 * BLOCK_TOKENS, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """Blocks (file, block, ids) of binary token files: a file or a folder, as a path or address;
+    ``file`` is the path. ``block_bytes`` must hold whole ids."""
+    spark.dataSource.register(TokenFiles)
+    where = path if "://" in path or path.startswith("file:") else os.path.abspath(path)
+    return spark.read.format("token_files").option("block_bytes", block_bytes).option("range_bytes", range_bytes).load(where)
 
 
 def _scan(separator: int, dtype: str):

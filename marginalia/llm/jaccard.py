@@ -475,3 +475,28 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salt_b
 def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate component of every document."""
     return link(table(spark, sf_dir, "documents"))
+
+
+#: Shingles are numbered; documents of equal sets are one class; classes meet by the rarest quarter of
+#: their shingles (one of which linked sets share) and are then compared whole.
+OP3_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END)) AS s FROM w),
+c AS MATERIALIZED (SELECT min(doc_id) AS id, md5(array_to_string(s, chr(10))) AS h, len(s) AS n, any_value(s) AS s FROM s WHERE len(s) > 0 GROUP BY 2, 3),
+x AS MATERIALIZED (SELECT id, n, unnest(s) AS g FROM c),
+f AS (SELECT g, count(*) AS k FROM x GROUP BY g HAVING count(*) > 1),
+r AS MATERIALIZED (SELECT x.id, x.n, x.g, row_number() OVER (PARTITION BY x.id ORDER BY coalesce(k, 1), x.g) AS place FROM x LEFT JOIN f USING (g)),
+p AS MATERIALIZED (
+  SELECT DISTINCT a.id AS a, b.id AS b, a.n AS na, b.n AS nb FROM r a JOIN r b ON a.g = b.g AND a.id < b.id
+  WHERE a.place <= a.n - ceil(0.75 * a.n) + 1 AND b.place <= b.n - ceil(0.75 * b.n) + 1 AND 100 * least(a.n, b.n) >= 75 * greatest(a.n, b.n)),
+l AS MATERIALIZED (
+  SELECT a, b FROM (SELECT p.a, p.b, p.na, p.nb, len(list_intersect(ca.s, cb.s)) AS k FROM p JOIN c ca ON ca.id = p.a JOIN c cb ON cb.id = p.b) WHERE 100 * k >= 75 * (na + nb - k)),
+e AS MATERIALIZED (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+t(id, least) AS (SELECT id, id FROM c UNION SELECT e.b, t.least FROM t JOIN e ON e.a = t.id WHERE t.least < e.b),
+m AS (SELECT id, min(least) AS component FROM t GROUP BY id)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, coalesce(m.component, s.doc_id) AS component_id
+FROM s LEFT JOIN c ON len(s.s) > 0 AND c.h = md5(array_to_string(s.s, chr(10))) AND c.n = len(s.s) LEFT JOIN m ON m.id = c.id
+"""

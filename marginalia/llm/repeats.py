@@ -260,3 +260,13 @@ def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the words of earlier windows, as a digest."""
     kept = drop_repeats(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+OP5_SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+v AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 19], ' ')) AS h FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM w WHERE len(w) >= 20)),
+g AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY h ORDER BY doc_id, i) AS k FROM v) WHERE k > 1),
+o AS (SELECT doc_id, list_distinct(flatten(list(range(i, i + 20)))) AS gone FROM g GROUP BY doc_id),
+k AS (SELECT w.doc_id, w, coalesce(gone, []) AS gone, CASE WHEN gone IS NULL THEN w ELSE list_transform(list_filter(list_zip(w, range(1, len(w) + 1)), lambda x: NOT list_contains(gone, x[2])), lambda x: x[1]) END AS kept FROM w LEFT JOIN o USING (doc_id))
+SELECT doc_id, len(w)::BIGINT AS n_words, len(gone)::BIGINT AS n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM k
+"""

@@ -10,7 +10,8 @@ so only one shard is in memory; only up to k rows of a query leave each shard.
 Defined cases: vectors that are null or hold null or non-finite components take no part, nor do
 null ids; of rows that share an id the smallest vector counts; vectors meet only vectors of their
 own length; equal scores go to the smaller id; a table without queries or candidates gives no rows;
-further columns are ignored. Scores beyond a long are cut to its range after ranking.
+further columns are ignored. Scores beyond a long are cut to its range and then tie. Every query goes
+to every shard: only the kth score that travels with it saves work there.
 """
 
 from __future__ import annotations
@@ -172,7 +173,7 @@ def top_k(vectors: DataFrame, k: int = K, shard_rows: int = SHARD_ROWS) -> DataF
     unique = cut(unique.withColumn("dim", F.size("v")), "vectors")
     shards = max(1, -(-unique.count() // shard_rows))
     candidates = unique.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
-    deal = lambda df: df.repartition(shards, "dim", "shard").sortWithinPartitions("dim", "shard", "kind")
+    deal = lambda df: df.repartitionById(shards, F.col("shard")).sortWithinPartitions("dim", "shard", "kind")  # noqa: E731  a task for each shard
     typed = lambda df: df.select("dim", "shard", F.col("kind").cast("int"), "vec_id", "v", F.col("floor").cast("long"))
     rows = typed(candidates.withColumns({"kind": F.lit(0), "floor": F.lit(None)}))
     home = cut(deal(rows).transform(in_arrow, lambda it: _scan(it, k, True), FOUND), "home")

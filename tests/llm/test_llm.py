@@ -83,8 +83,9 @@ def test_packing(spark, docs):
     for i, ids in want:
         total = len(ids) // 4
         mine = [p for p in got[i] if p.doc_tokens == total]
-        for p in mine:
-            assert p.ids in ids or True
+        texts = [x for (k, x), _ in want.items() if k == i and len(x) == len(ids)]
+        for p in mine:  # a piece is the ids of one of the id's texts at its place
+            assert any(x[4 * p.start : 4 * (p.start + p.length)] == p.ids for x in texts)
         assert sum(p.length for p in mine) == total * sum(n for (k, x), n in want.items() if k == i and len(x) == len(ids))
         if sum(n for (k, x), n in want.items() if k == i) == 1:
             assert b"".join(p.ids for p in sorted(mine, key=lambda p: p.start)) == ids
@@ -278,7 +279,9 @@ def test_flat_files(spark, tmp_path):
             ids = ids[:-1]  # without a last separator
         (tmp_path / f"{name}.bin").write_bytes(ids.astype("<u2").tobytes())
         want[name] = lengths
-    blocks = counts.read_token_files(spark, str(tmp_path), 128)
+    blocks = counts.read_token_files(spark, str(tmp_path), 128, range_bytes=512)  # many ranges of a file
+    assert blocks.rdd.getNumPartitions() > 4 and blocks.count() == sum(-(-(tmp_path / f"{n}.bin").stat().st_size // 128) for n in "abc")
+    assert {tuple(r) for r in counts.count_tokens(counts.read_token_files(spark, f"file://{tmp_path}", 256)).collect()} == {tuple(r) for r in counts.count_tokens(blocks).collect()}
     got = {}
     for r in counts.count_tokens(blocks).orderBy("file", "ordinal").collect():
         got.setdefault(r.file.rsplit("/", 1)[-1][0], []).append(r.n_tokens)

@@ -17,7 +17,7 @@ pytestmark = pytest.mark.skipif(not os.path.exists(f"{FOLDER}/documents.parquet"
 @pytest.mark.parametrize("name", queries.ORACLE_SQL)
 def test_sql(spark, name):
     c = duckdb.connect()
-    for t in ("embeddings", "conversations"):
+    for t in ("embeddings", "conversations", "documents"):
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{FOLDER}/{t}.parquet')")
     df = queries.QUERIES[name](spark, FOLDER)
     columns = sorted(df.columns)
