@@ -25,14 +25,22 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one row of each component: that with the smallest doc_id (null last), and of rows with
-    one id that with the smallest text. Rows are told apart by a hash of id and text, so rows that
-    share an id only are judged each by its own text, rows without an id by theirs, and rows that
-    are equal in both are one, of which the first in order of the other columns stays."""
-    docs = docs.select(*COLUMNS).withColumn("key", F.xxhash64("doc_id", "text"))
+    """Keeps one row of each component: that with the smallest doc_id (null last). Rows that share an
+    id but not the text are judged each by its own text, rows without an id by theirs, and rows
+    that are equal in both are one, of which the first in order of the other columns stays.
+
+    A row's key is its doc_id, as in most tables; a further text of an id, and a row without one,
+    has a hash of both beyond all ids (2**62) instead.
+    """
+    docs = docs.select(*COLUMNS)
+    texts = docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(F.xxhash64("text")).alias("lo"), F.max(F.xxhash64("text")).alias("hi"))
+    several = cut(texts.where("lo <> hi").select("doc_id", "lo"), "several")
+    further = F.col("doc_id").isNull() | F.coalesce(F.xxhash64("text") != F.col("lo"), F.lit(False))
+    beyond = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 2).bitwiseOR(F.lit(1 << 62))
+    docs = docs.join(several, "doc_id", "left").withColumn("key", F.when(further, beyond).otherwise(F.col("doc_id"))).select(*COLUMNS, "key")
     linked = jaccard.link(docs, id_col="key").select(F.col("doc_id").alias("key"), "component_id").distinct()
-    rank = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", F.xxhash64("text").alias("tie"), "key")
-    first = docs.select("key", "doc_id", "text").join(linked, "key").groupBy("component_id").agg(F.min(rank).alias("x"))
+    rank = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "key")
+    first = docs.select("key", "doc_id").join(linked, "key").groupBy("component_id").agg(F.min(rank).alias("x"))
     kept = cut(first.select("x.key"), "first")
     chosen = docs.join(kept, "key", "left_semi")
     return chosen.groupBy("key").agg(F.min(F.struct(*COLUMNS)).alias("x")).select("x.*")
