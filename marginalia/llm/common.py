@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..scratch import cut, drop
+from .words import forget
 
 BATCH_ROWS = 2000
+BATCH_BYTES = 4 << 20
 
 
 __all__ = ["buckets", "cut", "drop", "in_arrow", "most_frequent", "release", "table", "tidy"]
@@ -58,19 +60,21 @@ def release(spark: SparkSession) -> None:
 
 def tidy() -> None:
     """Gives freed memory of a Python worker back, as workers outlive their tasks."""
+    forget()
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):
         ctypes.CDLL(None).malloc_trim(0)
 
 
 def in_arrow(df: DataFrame, run, schema: str | StructType) -> DataFrame:
-    """``df.mapInArrow`` for long rows: memory is given back after a task, and batches hold at most
-    BATCH_ROWS rows. Spark knows that bound as a setting of the session only: it is lowered to
-    BATCH_ROWS here, never raised."""
-    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(conf.get(name))
-    if now <= 0 or now > BATCH_ROWS:
-        conf.set(name, str(BATCH_ROWS))
+    """``df.mapInArrow`` for long rows: memory is given back after a task, and batches end at
+    BATCH_ROWS rows or with the row that reaches BATCH_BYTES. Spark knows these bounds as settings
+    of the session only: they are lowered here, never raised."""
+    conf, in_bytes = df.sparkSession.conf, df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    for name, most, number in (("maxRecordsPerBatch", BATCH_ROWS, int), ("maxBytesPerBatch", BATCH_BYTES, in_bytes)):
+        now = number(conf.get(f"spark.sql.execution.arrow.{name}"))
+        if now <= 0 or now > most:
+            conf.set(f"spark.sql.execution.arrow.{name}", str(most))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:

@@ -14,7 +14,7 @@ from array import array
 import numpy as np
 
 DEFAULT = "word_bpe_49k.json"
-CACHE_WORDS = 600_000  # of each of two generations
+CACHE_WORDS = 150_000  # of each of two generations, about 30 MB
 
 
 def default_path() -> str:

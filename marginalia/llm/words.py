@@ -38,6 +38,11 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
     return _POWERS[key][:n]
 
 
+def forget() -> None:
+    """Drops the powers that were kept."""
+    _POWERS.clear()
+
+
 def _inverse(x: np.uint64) -> np.uint64:
     return np.uint64(pow(int(x), -1, 1 << 64))
 
