@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import in_arrow, table
-from .tokens import word_ids
+from .tokens import CACHE_WORDS, word_ids
 
 CAPACITY = 4096
 END = 2
@@ -140,12 +140,13 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
 
 
-def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, end: int = END, capacity: int = CAPACITY) -> DataFrame:
+def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, end: int = END, capacity: int = CAPACITY, cache_words: int = CACHE_WORDS) -> DataFrame:
     """Pieces of sequences: doc_id, start, length, ids (unsigned 32-bit, little-endian), doc_tokens,
-    sequence_id, offset. ``tokenizer`` is the path of a vocabulary file (default: word_bpe_49k)."""
+    sequence_id, offset. ``tokenizer`` is the path of a vocabulary file (default: word_bpe_49k).
+    ``cache_words`` trades a worker's memory for time and changes no result."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, tail = word_ids(tokenizer), end.to_bytes(4, "little")
+        ids, tail = word_ids(tokenizer, words=cache_words), end.to_bytes(4, "little")
         packer = Packer(capacity, TaskContext.get().partitionId() << 33)
         size = 0
         for batch in batches:
@@ -164,5 +165,5 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The packing of all documents, with a digest in place of the ids."""
-    packed = pack(table(spark, sf_dir, "documents"))
+    packed = pack(table(spark, sf_dir, "documents"), cache_words=4 * CACHE_WORDS)
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")

@@ -34,6 +34,7 @@ class WordIds(dict):
         self.tokenizer.encode_special_tokens = True
         self.kind = {"<u4": "I", "<u2": "H"}[dtype]
         self.older: dict[bytes, bytes] = {}
+        self.most = CACHE_WORDS
 
     def _direct(self, text: str) -> bytes:
         ids = array(self.kind, self.tokenizer.encode(text, add_special_tokens=False).ids)
@@ -60,7 +61,7 @@ class WordIds(dict):
             return b""
         if b"<|" in text:
             return self._direct(text.decode())
-        if len(self) > CACHE_WORDS:
+        if len(self) > self.most:
             self.older = dict(self)
             self.clear()
         return b"".join(map(self.__getitem__, text.lower().split()))
@@ -69,10 +70,11 @@ class WordIds(dict):
 _KEPT: dict[tuple, WordIds] = {}
 
 
-def word_ids(path: str | None, dtype: str = "<u4") -> WordIds:
-    """One cache for each Python worker, kept between its tasks."""
+def word_ids(path: str | None, dtype: str = "<u4", words: int = CACHE_WORDS) -> WordIds:
+    """One cache for each Python worker, kept between its tasks, of twice ``words`` words at most."""
     if (path, dtype) not in _KEPT:
         _KEPT[path, dtype] = WordIds(path, dtype)
+    _KEPT[path, dtype].most = words
     return _KEPT[path, dtype]
 
 
