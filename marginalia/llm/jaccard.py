@@ -333,40 +333,37 @@ def _near_pairs(rows: list[tuple]) -> list[tuple[int, int, int]]:
 
 
 def _cross_rows(most: int):
-    """Rows come sorted by part, then sketches and tried pairs (key null), then members by key and
-    cell. Of each two components of a cell up to ``most`` pairs that are not tried and that sizes
-    and sketches let through, those of the least distance first; nulls where there were more."""
+    """Rows come sorted by part, then sketches (key null), then members by key and cell. Of each two
+    components of a cell up to ``most`` pairs that sizes and sketches let through, those of the
+    least distance first; nulls where there were more."""
 
-    def close(rows: list[tuple], tried: set) -> list[tuple]:
+    def close(rows: list[tuple]) -> list[tuple]:
         taken: dict[tuple, int] = {}
         out = []
         for _, i, j in sorted(_near_pairs(rows)):
             pair = (min(rows[i][0], rows[j][0]), max(rows[i][0], rows[j][0]))
             between = (min(rows[i][1], rows[j][1]), max(rows[i][1], rows[j][1]))
-            if pair not in tried:
-                taken[between] = taken.get(between, 0) + 1
-                out.append(pair if taken[between] <= most else (None, None))
+            taken[between] = taken.get(between, 0) + 1
+            out.append(pair if taken[between] <= most else (None, None))
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, now, sketches, tried, rows = None, None, {}, set(), []
+        part, now, sketches, rows = None, None, {}, []
         for batch in batches:
             out: list[tuple] = []
-            for at, key, cell, rep, c, side, n, x, other in zip(*(col.to_pylist() for col in batch.columns)):
+            for at, key, cell, rep, c, side, n, x in zip(*(col.to_pylist() for col in batch.columns)):
                 if (at, key, cell) != (part, *(now or (None, None))):
-                    out += close(rows, tried)
+                    out += close(rows)
                     rows = []
                     if at != part:
-                        part, sketches, tried = at, {}, set()
+                        part, sketches = at, {}
                     now = (key, cell)
                 if key is not None:
                     rows.append((rep, c, *sketches[rep], side))
-                elif other is None:
-                    sketches[rep] = (n, x)
                 else:
-                    tried.add((min(rep, other), max(rep, other)))
+                    sketches[rep] = (n, x)
             yield _two(sorted(set(out), key=str))
-        yield _two(close(rows, tried))
+        yield _two(close(rows))
 
     return run
 
@@ -394,7 +391,8 @@ def _cells() -> Column:
 def _between(members: DataFrame, reps: DataFrame, tried: DataFrame, parts: int, most: int) -> DataFrame:
     """Untried pairs (a, b) between components of (key, rep, c). Groups are cut into cells of two
     blocks. Cells with the same place of groups with the same least member go to one part, to which
-    a sketch travels once, or to as many as their rows need."""
+    a sketch travels once, or to as many as their rows need. Tried pairs do not travel, as a set may
+    have many and be in many parts: they count among the ``most`` and leave the result."""
     sizes = members.groupBy("key", "c").agg(F.count(F.lit(1)).alias("k"), F.min("rep").alias("least"))
     blocks = lambda n: F.greatest(F.lit(1), F.ceil(n / SPLIT)).cast("bigint")
     groups = sizes.groupBy("key").agg(F.max_by("c", F.struct("k", "c")).alias("big"), F.max("k").alias("most"), F.min("least").alias("least"), F.sum("k").alias("size"))
@@ -404,14 +402,13 @@ def _between(members: DataFrame, reps: DataFrame, tried: DataFrame, parts: int,
     rows = members.join(groups, "key").withColumn("x", F.explode(_cells())).select("*", "x.cell", "x.side")
     rows = cut(rows.select(F.pmod(F.xxhash64("least", "cell", F.pmod(F.xxhash64("key"), F.col("spread"))), F.lit(16 * parts)).cast("int").alias("part"), "key", "cell", "rep", "c", "side"), "dealt")
     here = cut(rows.select("part", "rep").distinct(), "here")
-    columns = (("key", "bigint"), ("cell", "bigint"), ("rep", "bigint"), ("c", "bigint"), ("side", "int"), ("n", "bigint"), ("sketch", "binary"), ("other", "bigint"))
+    columns = (("key", "bigint"), ("cell", "bigint"), ("rep", "bigint"), ("c", "bigint"), ("side", "int"), ("n", "bigint"), ("sketch", "binary"))
     typed = lambda df, **more: df.select("part", *[more.get(c, F.lit(None)).cast(t).alias(c) for c, t in columns])
     col = F.col
     sketches = typed(here.join(reps, "rep"), rep=col("rep"), n=col("n"), sketch=col("sketch"))
-    known = typed(here.join(tried, col("rep") == col("a")), rep=col("a"), other=col("b"))
     placed = typed(rows, key=col("key"), cell=col("cell"), rep=col("rep"), c=col("c"), side=col("side"))
-    dealt = sketches.unionByName(known).unionByName(placed).repartition(parts, "part").sortWithinPartitions("part", "key", "cell")
-    return dealt.transform(in_arrow, _cross_rows(most), "a long, b long").distinct()
+    dealt = sketches.unionByName(placed).repartition(parts, "part").sortWithinPartitions("part", "key", "cell")
+    return dealt.transform(in_arrow, _cross_rows(most), "a long, b long").distinct().join(tried, ["a", "b"], "left_anti")
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from marginalia.llm import chat, counts, graph, jaccard, jpeg, language, media, mixing, packing, repeats, search, secrets, words
+from marginalia.llm import chat, common, counts, graph, jaccard, jpeg, language, media, mixing, packing, repeats, search, secrets, words
 
 SYLLABLES = "an ber con dor eth fil gam hin ist jor kel lun mar nol".split()
 
@@ -169,6 +169,21 @@ def test_many_unlinked_documents_with_one_passage(spark, monkeypatch):
     assert all(got[i] == (i - 10_000 if i >= 10_000 else i) for i in got) and len(got) == len(rows)
 
 
+def test_tried_pairs_do_not_travel(spark, monkeypatch):
+    """A set with many tried pairs that is in many parts: they are left out of the result, but not sent to each part."""
+    dealt = []
+    monkeypatch.setattr(jaccard, "in_arrow", lambda df, run, schema: dealt.append(df.count()) or common.in_arrow(df, run, schema))
+    hub, least = 1000, range(1, 41)
+    members = spark.createDataFrame([(k, r, r) for k in least for r in (k, hub)], "key long, rep long, c long")
+    reps = spark.createDataFrame([(r, 40, bytes(32)) for r in [*least, hub]], "rep long, n long, sketch binary")
+    tried = spark.createDataFrame([(hub, 2000 + i) for i in range(300)] + [(7, hub)], "a long, b long")
+    got = jaccard._between(members, reps, tried, 8, jaccard.PAIRS).collect()
+    assert sorted(tuple(r) for r in got) == [(k, hub) for k in least if k != 7]
+    assert dealt[0] <= 6 * len(least)
+    some = jaccard._between(spark.createDataFrame([(1, r, r % 2) for r in range(8)], "key long, rep long, c long"), reps.limit(1).selectExpr("explode(sequence(0L, 7L)) AS rep", "n", "sketch"), tried.limit(0), 8, 3).collect()
+    assert len(some) == 4 and sum(r.a is None for r in some) == 1
+
+
 def test_cells_cover_all_pairs(spark, monkeypatch):
     """Any two members of different components meet in exactly one cell."""
     monkeypatch.setattr(jaccard, "SPLIT", 3)
