@@ -84,21 +84,23 @@ def from_nested(series: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     in one series or in two, is two tests. An answer that is null in the source is -1 and one that
     the source has not is null.
     """
-    top = series_table(series.withColumn("at", F.monotonically_increasing_id()), ["at"])
-    tests = top.select(F.col("id").alias("series_id"), F.posexplode("tests").alias("p", "t"))
-    tests = tests.select("series_id", F.array("p").alias("path"), F.struct("series_id", "p").alias("key"), F.col("t.id").alias("test_id"), "t.name", "t.year", "t.computational", F.coalesce("t.sections", F.array()).alias("sections"), "t.problems")
+    stored = cut(series.withColumn("at", F.monotonically_increasing_id()), "series")
+    top = series_table(stored.select("at", "name"), ["at"])
+    each = stored.select("at", F.posexplode("tests").alias("p", "t")).withColumn("key", F.struct("at", "p"))
+    tests = each.select("at", F.array("p").alias("path"), "key", F.col("t.id").alias("test_id"), "t.name", "t.year", "t.computational", F.coalesce("t.sections", F.array()).alias("sections"))
+    tests = tests.join(top.select(F.col("id").alias("series_id"), "at"), "at").drop("at")
     titles = tests.select("key", F.posexplode("sections").alias("section_no", "section"))
-    entries = tests.withColumn("entries", F.from_json("problems", "array<string>")).withColumn("listed", F.transform("entries", lambda e: e.startswith("[").cast("int")))
-    cells = entries.select("key", F.size("sections").alias("n_sections"), "listed", F.posexplode("entries").alias("pos", "entry"))
-    before = F.aggregate(F.slice("listed", F.lit(1), F.col("pos")), F.lit(0), lambda a, x: a + x)
-    one = F.array(F.col("entry"))
-    cells = cells.withColumn("section", F.when(F.col("entry").startswith("["), before)).withColumn("texts", F.when(F.col("section").isNotNull(), F.from_json("entry", "array<string>")).otherwise(one))
-    rows = cells.select("key", "n_sections", "section", "pos", F.posexplode("texts").alias("j", "text")).withColumn("q", F.from_json("text", schemas.PROBLEM))
+    numbered = F.transform(F.from_json("t.problems", "array<string>"), lambda e, i: F.struct(i.alias("pos"), e.alias("entry")))
+    entries = each.select("key", F.coalesce(F.size("t.sections"), F.lit(0)).alias("n_sections"), numbered.alias("entries"))
+    listed = lambda x: F.coalesce(x["entry"].startswith("["), F.lit(False))
+    arrays = entries.select("key", "n_sections", F.posexplode(F.filter("entries", listed)).alias("section", "x")).select("key", "n_sections", "section", "x.pos", F.posexplode(F.from_json("x.entry", "array<string>")).alias("j", "text"))
+    single = entries.select("key", "n_sections", F.explode(F.filter("entries", lambda x: ~listed(x))).alias("x")).select("key", "n_sections", F.lit(None).cast("int").alias("section"), "x.pos", F.lit(0).alias("j"), F.col("x.entry").alias("text"))
+    rows = arrays.unionByName(single).withColumn("q", F.from_json("text", schemas.PROBLEM))
     section = F.coalesce("section", "q.section")
     rows = rows.select(
         "key", F.when((section >= 0) & (section < F.col("n_sections")), section).alias("section_no"), "pos", "j", "q.statement", "q.n",
         F.when(F.col("q.answer").isNull() & F.coalesce(F.array_contains(F.json_object_keys("text"), "answer"), F.lit(False)), -1).otherwise(F.col("q.answer")).alias("answer_index"),
         F.coalesce("q.choices", F.array().cast("array<string>")).alias("answers"), "q.topic_id",
     )
-    table = tests_table(tests.drop("sections", "problems"), titles, rows.where("section_no IS NULL"), "key")
+    table = tests_table(tests.drop("sections"), titles, rows.where("section_no IS NULL"), "key")
     return top.select("id", "name", "is_official"), table, problems_table(rows, table, "key")

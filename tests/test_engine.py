@@ -144,6 +144,16 @@ def test_sectioned_and_repeated(spark, tmp_path):
     assert [(g[0], g[1], g[2]) for g in got[5:]] == [(5, 4, 0), (6, 5, 1), (7, 5, 2), (8, 6, 3)]
 
 
+def test_arrays_after_an_unknown_entry(spark, tmp_path):
+    """An entry that is null leaves the numbers of later sections alone; no problem carries its test's list."""
+    test = {"id": 7, "name": "A", "sections": ["I", "II"], "problems": [None, [{"statement": "a", "topic_id": 1}], [{"statement": "b", "topic_id": 2}]]}
+    (tmp_path / "raw.json").write_text(json.dumps([{"name": "S", "tests": [test]}]))
+    _, tests, problems = normalize.from_nested(readers.nested_series(spark, str(tmp_path / "raw.json")))
+    names = {r.id: r.name for r in tests.collect()}
+    assert [(names[r.test_id], r.statement, r.aops_id) for r in problems.orderBy("id").collect()] == [("A", None, None), ("A + I", "a", 1), ("A + II", "b", 2)]
+    assert " aggregate(" not in problems._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_nested_result(spark):
     nodes = spark.createDataFrame(
         [(10, "folder", "F", [0]), (11, "folder", 'G "q"', [0, 1]), (20, "view_posts", "T", [0, 0]), (21, "view_posts", "U", [0, 1, 0]), (30, "folder", "empty", [1]), (22, "view_posts", "V", [2])],
