@@ -83,6 +83,17 @@ def test_secrets(spark, tables):
     assert by[600].n_assign == 1 and by[600].n_hex == 1 and by[None].n_access == 1
 
 
+def test_base_spans_are_those_of_matches(spark, tmp_path):
+    """The contract names matches and their start and end: an assignment's begins with its name."""
+    texts = ["my password = 'abcdefgh' and token:AKIAQQQQQQQQQQQQQQ.", 'é API_KEY":"' + "0af1" * 8, "secret=short passwd=" + "9" * 8, "none"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    want = ["assign:3:23,assign:29:54,access:35:53", "assign:2:44,hex:12:44", "assign:13:28", ""]
+    got = {r.doc_id: r for r in queries.QUERIES["op9_secrets"](spark, str(tmp_path)).collect()}
+    assert [got[i].base_sha256 for i in range(4)] == [hashlib.sha256(w.encode()).hexdigest() for w in want]
+    assert [",".join(s for s in got[i].spans.split(",") if not s.startswith("format")) for i in range(4)] == want
+    assert [(got[i].n_assign, got[i].n_access, got[i].n_hex) for i in range(4)] == [(2, 1, 0), (1, 0, 1), (1, 0, 0), (0, 0, 0)]
+
+
 def test_media(spark, tables):
     texts = {i: (t or "").encode() for i, t in tables[0]}
     for r in run(spark, tables, "op10_media"):
