@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..scratch import cut
+
 
 def _json(**fields: Column) -> Column:
     """A JSON object of values that are JSON already."""
@@ -54,18 +56,28 @@ def nested_result(nodes: DataFrame, tests: DataFrame, name: str, shown_depth: in
 
     ``nodes`` come from ``traverse.walk``, ``tests`` from ``tests_json``. Folders without tests stay.
     The document is one row; series of any number are written as one row each.
+
+    The document is cut into pieces: a test, the opening of a folder, its end. They are joined by
+    ranges of their place, and the ranges once more: no folder's text is built for itself, so the
+    last task holds the ranges, the document and the row, which leaves by a shuffle of its own.
     """
-    placed = nodes.where("item_type = 'view_posts'").join(tests.withColumnRenamed("test_id", "item_id"), "item_id").select("path", "json", "count")
-    folders = nodes.where("item_type = 'folder'").select("path", "name")
-    none = F.lit(0).cast("long")
-    for level in range(max(shown_depth, 0), 0, -1):
-        inner = placed.where(F.size("path") > level).withColumn("prefix", F.slice("path", 1, level))
-        groups = inner.groupBy("prefix").agg(F.array_sort(F.collect_list(F.struct("path", "json"))).alias("x"), F.sum("count").alias("n"))
-        here = folders.where(F.size("path") == level).join(groups, F.col("path") == F.col("prefix"), "left")
-        body = F.concat(F.lit("["), F.coalesce(F.array_join(F.transform("x", lambda t: t["json"]), ","), F.lit("")), F.lit("]"))
-        count = F.coalesce("n", none)
-        made = here.select("path", _json(name=_quoted(F.col("name")), tests=body, count=count.cast("string")).alias("json"), count.alias("count"))
-        placed = placed.where(F.size("path") <= level).unionByName(made)
-    top = placed.agg(F.array_sort(F.collect_list(F.struct("path", "json"))).alias("x"), F.coalesce(F.sum("count"), none).alias("count"))
-    body = F.concat(F.lit("["), F.array_join(F.transform("x", lambda t: t["json"]), ","), F.lit("]"))
-    return top.select(_json(name=_quoted(F.lit(name)), tests=body, count=F.col("count").cast("string")).alias("json"), "count")
+    spark, depth = nodes.sparkSession, max(shown_depth, 0)
+    place = F.col("path").cast("array<bigint>").alias("path")
+    leaves = nodes.where("item_type = 'view_posts'").select(F.col("item_id").alias("test_id"), place)
+    placed = cut(leaves.join(tests, "test_id").select("path", "json", "count"), "placed")
+    folders = nodes.where("item_type = 'folder'").where(F.size("path") <= depth).select(place, "name")
+    parent = F.slice("path", 1, F.least(F.size("path") - 1, F.lit(depth)))
+    prefixes = F.transform(F.sequence(F.lit(0), F.size(parent)), lambda k: F.slice("path", 1, k))
+    sums = placed.select("count", F.explode(prefixes).alias("path")).groupBy("path").agg(F.sum("count").alias("n"))
+    sized = cut(folders.join(sums, "path", "left").select("path", "name", F.coalesce("n", F.lit(0)).alias("n")), "folders")
+    firsts = placed.select("path").unionByName(sized.select("path")).groupBy(parent.alias("parent")).agg(F.min("path").alias("path")).select("path", F.lit("").alias("comma"))
+    opening = lambda c: F.concat(F.lit('{"name":'), _quoted(c), F.lit(',"tests":['))
+    ending = lambda n: F.concat(F.lit('],"count":'), n.cast("string"), F.lit("}"))
+    begun = placed.unionByName(sized.select("path", opening(F.col("name")).alias("json"), F.lit(0).cast("long").alias("count")))
+    begun = begun.join(firsts, "path", "left").select("path", F.concat(F.coalesce("comma", F.lit(",")), "json").alias("json"), "count")
+    ended = sized.select(F.array_append("path", F.lit(1 << 31).cast("long")).alias("path"), ending(F.col("n")).alias("json"), F.lit(0).cast("long").alias("count"))
+    ranges = begun.unionByName(ended).repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "path").withColumn("range", F.spark_partition_id())
+    in_order = F.array_sort(F.collect_list(F.struct("path", "json")))["json"]
+    texts = ranges.groupBy("range").agg(F.min("path").alias("path"), F.concat_ws("", in_order).alias("json"), F.sum("count").alias("count"))
+    count = F.coalesce(F.sum("count"), F.lit(0).cast("long"))
+    return texts.agg(F.concat_ws("", opening(F.lit(name)), in_order, ending(count)).alias("json"), count.alias("count")).repartition(1)

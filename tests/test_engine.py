@@ -174,6 +174,21 @@ def test_nested_result(spark):
     assert json.loads(nest.nested_result(nodes.limit(0), made, "root", 1).first().json) == {"name": "root", "tests": [], "count": 0}
 
 
+def test_nested_result_in_pieces(spark):
+    """Neither a folder's text nor the document is built twice: one join of ranges, and a shuffle
+    that hands on the row alone. Empty folders and deep ones in every place keep their commas."""
+    nodes = spark.createDataFrame(
+        [(10, "folder", "a", [0]), (11, "folder", "b", [0, 0]), (12, "folder", "c", [0, 1]), (13, "folder", "d", [0, 1, 0]), (14, "folder", "e", [1]), (20, "view_posts", "T", [0, 1, 0, 5]), (21, "view_posts", "U", [0, 2]), (22, "view_posts", "V", [2])],
+        "item_id bigint, item_type string, name string, path array<int>",
+    )
+    made = spark.createDataFrame([(20, 2, '"T"'), (21, 3, '"U"'), (22, 0, '"V"'), (23, 9, '"not in the walk"')], "test_id bigint, count bigint, json string")
+    folder = lambda name, count, *tests: {"name": name, "tests": list(tests), "count": count}
+    row = nest.nested_result(nodes, made, "root", 3)
+    assert row._jdf.queryExecution().optimizedPlan().nodeName() == "Repartition"
+    assert json.loads(row.first().json) == folder("root", 5, folder("a", 5, folder("b", 0), folder("c", 2, folder("d", 2, "T")), "U"), folder("e", 0), "V")
+    assert json.loads(nest.nested_result(nodes, made, "root", 1).first().json) == folder("root", 5, folder("a", 5, "T", "U"), folder("e", 0), "V")
+
+
 def test_walk_of_shared_folders(spark):
     """Layers of folders that share all of the next layer: paths double with each layer, folders do
     not; the first path of each counts. A later level may find an earlier path."""
