@@ -7,15 +7,36 @@ and only new ones reach the tokenizer.
 
 from __future__ import annotations
 
+import json
+import string
 import sys
 import unicodedata
 from array import array
+from pathlib import Path
 
 import numpy as np
 
 DEFAULT = "word_bpe_49k.json"
 CACHE_WORDS = 150_000  # of each of two generations, about 30 MB
 
+MARKS = string.punctuation.encode()
+# With these steps before the model letters are one run, marks after a letter or a digit another, and
+# the model sees bytes as characters.
+STEPS = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "post_processor": None,
+}
+LAST_LATIN = "\u024f"  # up to here letters are whole in NFC and never join a neighbour
+_SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+BYTE_LEVEL = {b: 0x100 + i for i, b in enumerate(b for b in range(0x100) if b not in _SHOWN)}
+
 
 def default_path() -> str:
     import public_tokenizers
@@ -32,25 +53,48 @@ class WordIds(dict):
 
         self.tokenizer = Tokenizer.from_file(path or default_path())
         self.tokenizer.encode_special_tokens = True
+        told = json.loads(Path(path or default_path()).read_text(encoding="utf-8"))
+        known = told["model"].get("type") == "BPE" and not told["model"].get("dropout") and all(told.get(k) == v for k, v in STEPS.items())
+        known = known and not any(x["content"].isalpha() or not x["content"].isascii() for x in told["added_tokens"])
+        self.model = self.tokenizer.model if known else None
         self.kind = {"<u4": "I", "<u2": "H"}[dtype]
         self.older: dict[bytes, bytes] = {}
         self.most = CACHE_WORDS
 
-    def _direct(self, text: str) -> bytes:
-        ids = array(self.kind, self.tokenizer.encode(text, add_special_tokens=False).ids)
+    def _bytes(self, numbers: list[int]) -> bytes:
+        ids = array(self.kind, numbers)
         if sys.byteorder == "big":
             ids.byteswap()
         return ids.tobytes()
 
+    def _direct(self, text: str) -> bytes:
+        return self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def _word(self, text: str) -> bytes:
+        """Ids of a word; Latin letters alone need no step before the model."""
+        if self.model is not None and text.isalpha() and max(text) <= LAST_LATIN and (text := text.lower()).isalpha():
+            return self._bytes([x.id for x in self.model.tokenize(text.encode().decode("latin-1").translate(BYTE_LEVEL))])
+        return self._direct(text)
+
+    def _ends(self, core: bytes) -> bool:
+        """Whether a run of the splitting pattern ends with ``core``, before marks."""
+        if core[-1] < 0x80:
+            return core[-1:].isalnum()
+        last = core[-4:].decode(errors="ignore")[-1]
+        return last <= LAST_LATIN and last.isalpha() and last.lower().isalpha()
+
     def __missing__(self, word: bytes) -> bytes:
         if (ids := self.older.get(word)) is not None:
             self[word] = ids
             return ids
-        # "word," is two runs of the splitting pattern whenever a single mark follows an ASCII letter.
-        if len(word) > 2 and word[-1:] in b".,;!" and word[-2:-1].isalpha():
-            ids = self[word[:-1]] + self[word[-1:]]
+        # "word," is two runs of the splitting pattern, a mark after a letter begins another.
+        if self.model is not None:
+            core = word.rstrip(MARKS)
+            cut = 0 < len(core) < len(word) and self._ends(core)
         else:
-            ids = self._direct(word.decode())
+            core = word[:-1]
+            cut = len(word) > 2 and word[-1:] in b".,;!" and core[-1:].isalpha()
+        ids = self[core] + self[word[len(core) :]] if cut else self._word(word.decode())
         if len(word) < 64:
             self[word] = ids
         return ids

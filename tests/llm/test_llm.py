@@ -273,6 +273,22 @@ def test_repeats(spark, docs):
     assert repeats.drop_repeats(docs(ROWS).limit(0)).count() == 0
 
 
+def test_word_ids_of_letters_and_marks(monkeypatch):
+    """Words of Latin letters, with marks behind them or not, reach the model alone; all others the
+    tokenizer. Ids are those of the tokenizer on the whole text, for letters that change too."""
+    from marginalia.llm.tokens import WordIds
+
+    ids, told, plain = WordIds(), [], WordIds._direct
+    monkeypatch.setattr(WordIds, "_direct", lambda self, text: told.append(text) or plain(self, text))
+    for text in ["hainst$$$ the,*** \u00c9t\u00c9! \u00e9t\u00e9.&&& na\u00efve) ABC", "x" * 5000 + "..."]:
+        assert ids.encode(text.encode()) == plain(ids, text)
+    assert all(not w.isalpha() and not any(c.isalpha() for c in w) for w in told)
+    letters, marks = ["a", "B", "it's", "'t", "\u00c9", "e\u0301", "\u0130", "\u0131", "\u00df", "\ufb01", "\u03a3", "\uac00", "\u1100\u1161", "7", "\u0661", "\u00bd", "\u00ba", "\u00ad", "\U0001f600"], ["", ".", "'s", "'.", "$$$", ",***", "|<", "=\u0338", "<\u0338", "\u0307", "\u2026"]
+    words = [a + b + m for a in letters for b in ["", *letters] for m in marks]
+    for text in [*words, " ".join(words), "\u3000".join(words[:300])]:
+        assert ids.encode(text.encode()) == plain(ids, text), text
+
+
 # token counts
 
 def test_token_counts(spark, docs):
